@@ -33,6 +33,8 @@ from loomline.operators.skew import hot_split_join
 from loomline.session import exists, work_dir, written
 
 PART = "__part"
+#: A partition is written by up to so many tasks.
+SALTS = 8
 
 
 class MessageStore:
@@ -52,60 +54,70 @@ class MessageStore:
         return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in self.identity])
 
     def _losers(self, narrow: DataFrame) -> DataFrame:
-        """order values of all copies but the winner.
+        """order and partition of all copies but the winner.
 
         Only identifiers with several copies take part in the join back, and
         the copies of hot identifiers are not shuffled for it.
         """
         best = written(narrow.groupBy(*self.identity).agg(F.min(self.order).alias("__best"), F.count(F.lit(1)).alias("__n")).filter("__n > 1"), "best")
         total = best.agg(F.sum("__n")).first()[0] or 0
-        return hot_split_join(narrow, best, self.identity, "__n", total).filter(F.col(self.order) > F.col("__best")).select(self.order)
+        rows = hot_split_join(narrow, best, self.identity, "__n", total)
+        return written(rows.filter(F.col(self.order) > F.col("__best")).select(self.order, PART, "__stored"), "losers")
 
     def merge(self, incoming: DataFrame) -> list[int]:
         """Takes up one delivery; returns the partitions that were replaced."""
         incoming = incoming.withColumn(PART, F.coalesce(self.block, F.lit(-1)))
-        narrow = incoming.filter(self._known()).select(*self.identity, self.order, PART)
-        first = not exists(self.spark, self.messages_path)
-        if first:
-            placed, affected = incoming, None
-        else:
-            ids = self.index().withColumnRenamed(PART, "__old")
-            # One row per identifier on the right, so no copy is multiplied.
-            home = narrow.groupBy(*self.identity).agg(F.min(PART).alias("__new")).join(ids, self.identity, "left")
-            home = written(home.select(*self.identity, F.coalesce("__old", "__new").alias("__home"), F.col("__old").isNull().alias("__fresh")), "home")
-            placed = (
-                incoming.filter(self._known())
-                .join(home.select(*self.identity, "__home"), self.identity, "inner")
-                .withColumn(PART, F.col("__home"))
-                .drop("__home")
-                .select(incoming.columns)
-                .unionByName(incoming.filter(~self._known()))
-            )
-            # The list is as long as the table has partitions at most.
-            affected = sorted(r[0] for r in placed.select(PART).distinct().collect())
-            placed = placed.unionByName(self.messages().filter(F.col(PART).isin(affected)).select(incoming.columns)).dropDuplicates([self.order]) if affected else placed
-        surplus = self._losers(placed.filter(self._known()).select(*self.identity, self.order))
-        kept = placed.join(surplus, self.order, "left_anti").select(incoming.columns)
-        staged = written(kept.repartition(PART, F.pmod(F.xxhash64(self.order), F.lit(4))), "staged")
-        if affected is None:
-            affected = sorted(r[0] for r in staged.select(PART).distinct().collect())
-        if not affected and not first:
+        narrow = incoming.filter(self._known()).select(*self.identity, self.order, PART, F.lit(False).alias("__stored"))
+        there: list[int] = []
+        fresh, placed = None, incoming
+        if exists(self.spark, self.messages_path):
+            ids = narrow.groupBy(*self.identity).agg(F.min(PART).alias("__new"), F.count(F.lit(1)).alias("__n"))
+            home = written(ids.join(self.index().withColumnRenamed(PART, "__old"), self.identity, "left"), "home")
+            fresh = home.filter("__old is null").select(*self.identity, F.col("__new").alias(PART))
+            # As long as the table has partitions at most, like every list here.
+            there = sorted(r[0] for r in home.filter("__old is not null").select(F.col("__old")).union(incoming.select(PART)).distinct().collect())
+            stored = self.messages().filter(F.col(PART).isin(there))
+            # A message is filed with its first copy: only those that move are joined.
+            moved = home.filter("coalesce(__old, __new) != __new or __n > 1").select(*self.identity, F.coalesce("__old", "__new").alias("__home"), "__n")
+            total = moved.agg(F.sum("__n")).first()[0] or 0
+            moves = hot_split_join(narrow, moved, self.identity, "__n", total).filter(F.col("__home") != F.col(PART)).select(self.order, "__home")
+            again = incoming.select(self.order).join(stored.select(self.order), self.order)
+            placed = incoming.join(again, self.order, "left_anti").join(moves, self.order, "left").withColumn(PART, F.coalesce("__home", PART)).select(incoming.columns)
+            narrow = placed.filter(self._known()).select(*self.identity, self.order, PART, F.lit(False).alias("__stored"))
+            narrow = narrow.unionByName(stored.filter(self._known()).select(*self.identity, self.order, PART, F.lit(True).alias("__stored")))
+        losers = self._losers(narrow)
+        lost = losers.select(self.order, PART)
+        # Partitions that get a row or lose one; the others stay as they are.
+        got = placed.select(self.order, PART).join(lost, [self.order, PART], "left_anti").select(PART)
+        changed = sorted(r[0] for r in got.union(losers.filter("__stored").select(PART)).distinct().collect())
+        rewritten = [p for p in changed if p in there]
+        if rewritten:
+            placed = placed.unionByName(self.messages().filter(F.col(PART).isin(rewritten)).select(incoming.columns))
+        if fresh is None and not changed:
             return []
-        (
-            staged.repartition(PART, F.pmod(F.xxhash64(self.order), F.lit(4)))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("compression", "zstd")
-            .partitionBy(PART)
-            .parquet(self.messages_path)
-        )
-        fresh = (
-            staged.filter(self._known()).groupBy(*self.identity).agg(F.min(PART).alias(PART))
-            if first
-            else home.filter("__fresh").select(*self.identity, F.col("__home").alias(PART))
-        )
+        if changed:
+            self._replace(placed, lost, staged=bool(rewritten))
+        if fresh is None:
+            fresh = self.messages().filter(self._known()).groupBy(*self.identity).agg(F.min(PART).alias(PART))
         fresh.write.mode("append").option("compression", "zstd").parquet(self.index_path)
-        return affected
+        return changed
+
+    def _replace(self, placed: DataFrame, lost: DataFrame, staged: bool) -> None:
+        """Writes ``placed`` without ``lost``.  Rows are shuffled once, by partition
+        and salt; the losers come to them in the same partitioning."""
+        conf, name = self.spark.conf, "spark.sql.requireAllClusterKeysForCoPartition"
+        before = conf.get(name)
+        n = int(conf.get("spark.sql.shuffle.partitions"))
+        salt = F.pmod(F.xxhash64(self.order), F.lit(SALTS))
+        put = lambda df: df.withColumn("__salt", salt).repartition(n, PART, "__salt")
+        conf.set(name, "false")
+        try:
+            kept = put(placed).join(put(lost), [PART, "__salt", self.order], "left_anti").select(placed.columns)
+            if staged:
+                kept = written(kept, "staged").repartition(PART, salt)
+            kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(PART).parquet(self.messages_path)
+        finally:
+            conf.set(name, before)
 
 
 def surplus_deliveries(log: DataFrame, identity: list[str], order: str, batch: str, blocks: int = 24, deliveries: int = 2, root: str | None = None) -> DataFrame:
@@ -127,4 +139,6 @@ def surplus_deliveries(log: DataFrame, identity: list[str], order: str, batch: s
         at = F.coalesce(F.col(batch), F.lit(low))
         store.merge(log.filter((at >= a) & (at < b)))
     known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in identity])
+    if not exists(spark, store.messages_path):
+        return log.filter(F.lit(False)).select(order)
     return log.filter(known).select(order).join(store.messages().select(order), order, "left_anti")

@@ -27,3 +27,18 @@ def hot_split_join(rows: DataFrame, dim: DataFrame, keys: list[str], count: str,
     cold = dim.filter(F.col(count) < least)
     few = F.broadcast(hot)
     return rows.join(few, keys, "inner").unionByName(rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys, "inner"))
+
+
+def many_to_one(rows: DataFrame, dim: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFrame:
+    """Inner join with a dimension of one row per key, whose keys may be hot in
+    ``rows``.
+
+    The rows are counted by key first (map-side combine, keys only).  The at most
+    ``1/share`` hot keys' dimension rows are broadcast, so their rows stay where
+    they are; the rest meets in a shuffle join.
+    """
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    total = rows.count()
+    hot = F.broadcast(counts.filter(F.col("__n") >= max(1000, int(total * share))).select(*keys))
+    few = F.broadcast(dim.join(hot, keys, "left_semi"))
+    return rows.join(few, keys, "inner").unionByName(rows.join(hot, keys, "left_anti").join(dim, keys, "inner"))
