@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 #: White space as the reference's runtime defines it (wider than Java's \s).
 SPACE = "[\\s\\x0B\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}\\x{FEFF}]"
@@ -20,7 +21,7 @@ SPACE = "[\\s\\x0B\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}
 _UNCOMPOSED = "[\\p{M}\\x{0374}\\x{037E}\\x{0387}\\x{1100}-\\x{11FF}\\x{1F71}-\\x{1FFD}\\x{2000}\\x{2001}\\x{2126}\\x{212A}\\x{212B}\\x{2329}\\x{232A}\\x{F900}-\\x{FAFF}\\x{FB1D}-\\x{FB4E}\\x{2F800}-\\x{2FA1D}]"
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def nfc_udf(text: pd.Series) -> pd.Series:
     return text.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
 
@@ -62,3 +63,13 @@ def source_hash(file: Column, row: Column, english: Column, japanese: Column) ->
 def unfenced(text: Column) -> Column:
     """A model response without the code fence around it."""
     return F.regexp_replace(F.regexp_replace(strip(text), f"(?i)^```(?:json)?{SPACE}*", ""), f"{SPACE}*```\\z", "")
+
+
+def utf16_length(text: Column) -> Column:
+    """UTF-16 code units: characters beyond the basic plane count twice."""
+    return F.length(text) + F.length(F.regexp_replace(text, "[^\\x{10000}-\\x{10FFFF}]", ""))
+
+
+def joined_url(base: str, suffix: str) -> str:
+    """Joins two parts of a URL with a single slash."""
+    return base.rstrip("/") + "/" + suffix.lstrip("/")
