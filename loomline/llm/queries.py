@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from loomline.llm.copies import distinct_records, surplus_copies
 from loomline.llm.leakage import exact_leaks, leaks
+from loomline.llm.mixing import Mix
 from loomline.llm.packing import fill_report, pack
 from loomline.llm.pairs import defects
+from loomline.llm.subjects import composition, document_subjects
 from loomline.session import table
 
 
@@ -60,6 +62,34 @@ def p6_leaks(spark, sf_dir):
     return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), kind.alias("kind"), "run", "lcs")
 
 
+def _mix(spark, sf_dir):
+    # A fixed table of a few rows.
+    targets = [tuple(r) for r in table(spark, sf_dir, "mix_targets").select("source", "target_share", "max_repeats").collect()]
+    return Mix(table(spark, sf_dir, "documents"), "doc_id", "text", "source", targets)
+
+
+def p7_mix(spark, sf_dir):
+    return _mix(spark, sf_dir).selection()
+
+
+def p7_shares(spark, sf_dir):
+    return _mix(spark, sf_dir).report()
+
+
+def _subjects(spark, sf_dir):
+    # A fixed table of a few rows.
+    names = [r.subject for r in table(spark, sf_dir, "subject_areas").select("subject").orderBy("subject").collect()]
+    return document_subjects(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "subject_labels"), "subject", names)
+
+
+def p8_found(spark, sf_dir):
+    return _subjects(spark, sf_dir)
+
+
+def p8_composition(spark, sf_dir):
+    return composition(_subjects(spark, sf_dir), table(spark, sf_dir, "documents"), "doc_id")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_distinct_pairs": p1_distinct_pairs,
@@ -68,6 +98,10 @@ QUERIES = {
     "p5_fill": p5_fill,
     "p6_found": p6_found,
     "p6_leaks": p6_leaks,
+    "p7_mix": p7_mix,
+    "p7_shares": p7_shares,
+    "p8_found": p8_found,
+    "p8_composition": p8_composition,
 }
 
 _P1 = r"""
