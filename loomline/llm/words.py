@@ -48,7 +48,7 @@ def tokenised(docs: DataFrame, ident: str, text: str, chunk: int = 8192, overlap
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = new_ids()
-        for f in frames:
+        for f in slices(frames, "text", 1_000_000):
             who, base, out = [], [], []
             for i, t in zip(f.iloc[:, 0], f.iloc[:, 1], strict=True):
                 w = word_ids(t, ids)
@@ -61,6 +61,17 @@ def tokenised(docs: DataFrame, ident: str, text: str, chunk: int = 8192, overlap
     return docs.select(F.col(ident).alias("ident"), F.col(text).alias("text")).filter("ident is not null").mapInPandas(run, f"ident {kind}, base bigint, ids array<bigint>")
 
 
+def slices(frames: Iterator[pd.DataFrame], column: str, units: int = 100_000) -> Iterator[pd.DataFrame]:
+    """The rows of Arrow batches in parts of about ``units`` array elements or
+    characters, so a worker's memory doesn't depend on the batch size."""
+    for f in frames:
+        size = f[column].map(lambda x: 0 if x is None else len(x)).to_numpy(dtype=np.int64)
+        part = np.cumsum(size) // units
+        cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(f) else []
+        for a, b in zip(cuts, [*cuts[1:], len(f)], strict=True):
+            yield f.iloc[a:b]
+
+
 def sum_blocks(df: DataFrame, make, width: int, blocks: int = 16) -> np.ndarray:
     """Sum over all partitions of an array of ``width`` rows.
 
