@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.words import words
+from loomline.llm.words import slices, words
 from loomline.session import written
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
@@ -150,7 +150,7 @@ class Mix:
         weights = spark.sparkContext.broadcast(train([r.text for r in labelled], np.array([at[r.source] for r in labelled], dtype=int), max(k, 1)))
 
         def member(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for f in frames:
+            for f in slices(frames, "text", 2_000_000):
                 tokens = np.array([count_tokens(t, tokenizer) for t in f["text"]], dtype=np.int64)
                 s = np.array([at.get(x, -1) for x in f["source"]], dtype=np.int32)
                 p = posterior(list(f["text"]), weights.value)
