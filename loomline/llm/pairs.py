@@ -4,7 +4,7 @@ A multi-label linear classifier on hashed word n-grams of the answer and on
 features of the pair.  It is trained here, on defects made from a bounded sample
 of sound pairs: answers cut short, copies of the source in other formatting,
 answers swapped for text in another language, and refusals.  Every label's
-threshold is the one of the best F1 on made pairs that the training did not see.
+threshold is calibrated on made pairs that the training did not see.
 
 The sample is the ``SAMPLE`` pairs of the lowest hash of their identifier, so it
 is the same on every run; real defects in it are removed by a first model.  All
@@ -36,12 +36,16 @@ from loomline.operators.skew import many_to_one
 
 KINDS = ("empty", "refusal", "copied", "wrong_language", "truncated")
 LABELS = KINDS[1:]
-SAMPLE, LEAST, DIM, EPOCHS, BATCH = 4000, 50, 1 << 15, 8, 512
+SAMPLE, LEAST, DIM, EPOCHS, BATCH = 4000, 50, 1 << 15, 12, 512
+#: Where in the gap between the classes a threshold lies.
+GAP = 0.35
 
 # Words that stand for a missing value, letters and digits only.
 STAND_IN = frozenset("null none nil na nan empty undefined missing blank trống rỗng khôngcó chưacó chưadịch tbd todo không có trong rong khongco なし 空 無し なし 空白 未翻訳 없음 无 空白 notavailable notranslation novalue nodata notext".split())
 
 _LETTERS = re.compile(r"[^\W_]+")
+#: Runs of Latin letters and digits, and runs of other letters.
+_TOKENS = re.compile(r"[A-Za-z0-9\u00C0-\u024F\u1E00-\u1EFF]+|[^\W_A-Za-z0-9\u00C0-\u024F\u1E00-\u1EFF]+")
 _TERMINAL = tuple(".!?。！？…♪")
 _CUT = re.compile(r"(?:\[\s*(?:\.\.\.|…)\s*\]|\(\s*(?:\.\.\.|…)?|\.\.\.|…|[-–—,:;/|&])\s*$")
 _END = "”’\"'»)]』」*_ \t\r\n　​﻿\xa0 "
@@ -70,18 +74,34 @@ ja|彼らは町に着くのが遅すぎて、誰も待っていなかった。|{
 en|They reached the town too late and no one waited for them.|{n} does not want to talk about what happened yesterday.|You have to close the window before the rain starts.|Hand these letters to {n} once the market is over.|The road is long, but there is food for everybody.|Whenever {n} comes by, that gate opens at once.
 """
 
-# Ways in which an assistant declines; parts are combined.
+# Ways in which an assistant declines, as choices that are combined.
 _REFUSE = {
-    "en": (["I'm sorry, but ", "Sorry, but ", "I apologize, but ", "Unfortunately, ", "", "As an AI language model, ", "My apologies, "], ["I can't translate this text", "I cannot translate this content", "I am unable to help with this translation", "I can't assist with that request", "I am not able to translate this passage", "I won't be able to complete this translation", "this request violates the policy", "this content is not appropriate for translation", "I must decline to translate this"], [".", "!", " for safety reasons.", ". Please provide another text.", ". Let me know if I can help with something else.", " because it goes against my guidelines."]),
-    "vi": (["Xin lỗi, ", "Tôi xin lỗi nhưng ", "Rất tiếc, ", "Thành thật xin lỗi, ", "", "Là một mô hình ngôn ngữ, ", "Tôi rất tiếc, "], ["tôi không thể dịch nội dung này", "tôi không thể thực hiện yêu cầu dịch thuật này", "tôi không thể hỗ trợ yêu cầu này", "tôi không thể dịch đoạn văn bản này", "tôi từ chối dịch văn bản này", "tôi không được phép dịch nội dung này", "yêu cầu này vi phạm chính sách nên tôi không thể dịch", "nội dung này không phù hợp để tôi dịch", "tôi là một mô hình ngôn ngữ và không thể hoàn thành bản dịch", "tôi là trợ lý AI nên không thể dịch câu này"], [".", "!", " vì lý do an toàn.", ". Vui lòng cung cấp văn bản khác.", ". Bạn có câu nào khác không?", " theo quy định."]),
-    "ja": (["申し訳ありませんが、", "恐れ入りますが、", "すみませんが、", ""], ["この文章は翻訳できません", "このご依頼にはお応えできません", "この内容の翻訳はお手伝いできません", "この翻訳を行うことはできません", "AIとしてこの依頼はお断りします"], ["。", "。別の文章をお送りください。", "。ポリシーに反するためです。"]),
-    "zh": (["抱歉，", "很抱歉，", "对不起，", ""], ["我无法翻译这段内容", "我不能完成这个翻译请求", "该请求违反了政策", "作为语言模型，我无法提供翻译"], ["。", "。请提供其他文本。"]),
-    "ko": (["죄송하지만 ", "죄송합니다. ", ""], ["이 내용을 번역할 수 없습니다", "이 요청은 도와드릴 수 없습니다", "이 번역 요청을 수행할 수 없습니다"], [".", ". 다른 문장을 보내 주세요."]),
-    "es": (["Lo siento, pero ", "Lo siento, ", "Disculpe, "], ["no puedo traducir este texto", "no puedo ayudar con esta traducción", "no puedo cumplir con esta solicitud"], [".", ". Envíe otro texto."]),
-    "fr": (["Je suis désolé, mais ", "Désolé, "], ["je ne peux pas traduire ce texte", "je ne peux pas répondre à cette demande"], [".", ". Veuillez fournir un autre texte."]),
-    "de": (["Es tut mir leid, aber ", "Leider "], ["kann ich diesen Text nicht übersetzen", "kann ich bei dieser Anfrage nicht helfen"], ["."]),
-    "id": (["Maaf, "], ["saya tidak dapat menerjemahkan teks ini", "saya tidak bisa membantu permintaan ini"], ["."]),
+    "en": (
+        "I'm sorry, but |I am sorry, |Sorry, but |I apologize, but |Unfortunately |Unfortunately, ||As an AI language model, |My apologies, |I regret that |Please understand, ",
+        "I can't |I cannot |I won't be able to |I'm unable to |I am not able to |I must decline to |I'm not allowed to |I have to refuse to ",
+        "translate |help with translating |provide a translation of |assist with |complete the translation of |process |give a version of ",
+        "this text|this content|this passage|this line|that request|this sentence|the source text",
+        ".|!| for safety reasons.| due to my guidelines.|. Please provide another text.|. Let me know if I can help with something else.| because it violates the policy.",
+    ),
+    "en2": ("I'm sorry, |Sorry, |Unfortunately |", "this request |this content |this text |translating this passage ", "violates |is against |goes against |is not allowed by ", "my guidelines|the content policy|our safety rules|my instructions", ".|, so I can't translate it.|. Please provide a different text."),
+    "vi": (
+        "Xin lỗi, |Xin lỗi nhưng |Tôi xin lỗi, |Tôi xin lỗi nhưng |Rất tiếc, |Rất tiếc nhưng |Thành thật xin lỗi, ||Là một mô hình ngôn ngữ, |Tôi rất tiếc, |Mong bạn thông cảm, ",
+        "tôi không thể |tôi không được phép |tôi không có khả năng |tôi từ chối |tôi xin phép không |hệ thống không thể |tôi chưa thể |mình không thể ",
+        "dịch |hỗ trợ dịch |thực hiện |hoàn thành |cung cấp bản dịch cho |đáp ứng |xử lý |hỗ trợ |trả lời ",
+        "nội dung này|đoạn văn này|đoạn văn bản này|văn bản này|câu này|yêu cầu này|yêu cầu dịch thuật này|bản dịch này|phần này",
+        ".|!| vì lý do an toàn.|. Vui lòng cung cấp văn bản khác.|. Bạn có thể gửi câu khác không?| theo chính sách.| do vi phạm quy định.",
+    ),
+    "vi2": ("Xin lỗi, |Tôi xin lỗi nhưng |Rất tiếc, |", "nội dung này |yêu cầu này |đoạn văn này |văn bản này ", "không phù hợp |vi phạm chính sách |không được cho phép |vi phạm nguyên tắc an toàn ", "để tôi dịch|nên tôi không thể dịch|nên tôi không thể hỗ trợ|để dịch thuật", ".|!| vì lý do an toàn.|. Vui lòng cung cấp văn bản khác."),
+    "vi3": ("Rất tiếc, |Xin lỗi, |Tôi xin lỗi nhưng |", "tôi là một mô hình ngôn ngữ |tôi là trợ lý AI |tôi chỉ là một chương trình ", "và không thể |nên không thể |và không được phép ", "hoàn thành bản dịch|dịch nội dung này|thực hiện yêu cầu", ".|!|. Vui lòng cung cấp văn bản khác.|. Bạn có thể gửi câu khác không?"),
+    "ja": ("申し訳ありませんが、|申し訳ございません。|恐れ入りますが、|すみませんが、|残念ながら、|", "この文章は|この内容は|このご依頼には|この内容の翻訳は|この翻訳は|ご依頼の文は", "翻訳できません|お応えできません|お手伝いできません|対応できません|お受けできません|お断りします|訳すことができません", "。|。別の文章をお送りください。|。ポリシーに反するためです。|。ご了承ください。"),
+    "zh": ("抱歉，|很抱歉，|对不起，|", "我无法|我不能|我没有办法|作为语言模型，我无法", "翻译|处理|完成|提供", "这段内容|这个请求|该文本|这句话的翻译", "。|。请提供其他文本。|，因为它违反了政策。"),
+    "ko": ("죄송하지만 |죄송합니다. |", "이 내용을 |이 요청을 |이 문장을 |이 번역을 ", "번역할 수 없습니다|도와드릴 수 없습니다|수행할 수 없습니다|처리할 수 없습니다", ".|. 다른 문장을 보내 주세요."),
+    "es": ("Lo siento, pero |Lo siento, |Disculpe, |", "no puedo |no me es posible |no tengo permitido ", "traducir |ayudar con |procesar ", "este texto|esta traducción|esta solicitud", ".|. Envíe otro texto."),
+    "fr": ("Je suis désolé, mais |Désolé, |", "je ne peux pas |il m'est impossible de ", "traduire |traiter |répondre à ", "ce texte|cette demande|ce contenu", ".|. Veuillez fournir un autre texte."),
+    "de": ("Es tut mir leid, aber |Leider |", "ich kann |kann ich ", "diesen Text nicht übersetzen|bei dieser Anfrage nicht helfen|diesen Inhalt nicht bearbeiten", ".|. Bitte senden Sie einen anderen Text."),
+    "id": ("Maaf, |Mohon maaf, |", "saya tidak dapat |saya tidak bisa ", "menerjemahkan |membantu |memproses ", "teks ini|permintaan ini|konten ini", ".|. Silakan kirim teks lain."),
 }
+_REFUSE = {k: [part.split("|") for part in v] for k, v in _REFUSE.items()}
 
 
 def plain(text: str | None) -> str:
@@ -139,46 +159,64 @@ class Features:
         seen: Counter[str] = Counter()
         per_latin, per_other = [], []
         for en, jp, vi in sound:
-            source = set(_LETTERS.findall((en + " " + jp).lower()))
-            seen.update({w for x in (vi.lower(), unmarked(vi.lower())) for w in _LETTERS.findall(x)} - source)
+            source = set(_TOKENS.findall((en + " " + jp).lower()))
+            seen.update({w for x in (vi.lower(), unmarked(vi.lower())) for w in _TOKENS.findall(x)} - source)
             a = len(canon(vi))
             for s in (en, jp):
                 c = canon(s)
                 if len(c) >= 15:
                     (per_latin if _latin(c) * 2 > len(c) else per_other).append(a / len(c))
         self.known = frozenset(w for w, n in seen.items() if n >= 3)
+        self.cache: dict[str, tuple[bool, bool, bool]] = {}
         self.per_latin = float(np.median(per_latin)) if per_latin else 1.0
         self.per_other = float(np.median(per_other)) if per_other else 2.3
 
+    def word(self, w: str) -> tuple[bool, bool, bool]:
+        """Whether a word is known, shaped like a syllable, and marked."""
+        got = self.cache.get(w)
+        if got is None:
+            if len(self.cache) > 200_000:
+                self.cache.clear()
+            got = self.cache[w] = (w in self.known, bool(_SYLLABLE.fullmatch(unmarked(w))), bool(_VIET.search(w)))
+        return got
+
     def of(self, en: str, jp: str, vi: str) -> tuple[list[int], list[float], float]:
         """Hashed indexes, dense features, copy score."""
         clean = _MARKUP.sub(" ", vi)
-        low = clean.lower()
-        source = Counter(_LETTERS.findall((en + " " + jp).lower()))
-        tokens = _LETTERS.findall(low)
+        tokens = _TOKENS.findall(clean.lower())
+        by_field = [_TOKENS.findall(x.lower()) for x in (en, jp)]
+        source = set(by_field[0]).union(by_field[1])
         rest = [w for w in tokens if w not in source and not w.isdigit()]
         c, ce, cj = canon(vi), canon(en), canon(jp)
-        copy = max(_dice(c, ce), _dice(c, cj))
-        # A copy that lost its end is a copy still.
-        part = max((len(c) / len(s) if len(c) >= 12 and s.startswith(c) else 0.0) for s in (ce, cj))
-        copy = max(copy, part and 0.95)
-        n = len(rest)
-        letters = sum(len(w) for w in rest) or 1
-        other = sum(1 for w in rest for ch in w if ch >= "ɐ" and not "Ạ" <= ch <= "ỿ") / letters
-        known = sum(w in self.known for w in rest) / n if n else 0.5
-        shaped = sum(bool(_SYLLABLE.fullmatch(unmarked(w))) for w in rest) / n if n else 0.5
-        marked = sum(bool(_VIET.search(w)) for w in rest) / n if n else 0.5
+        n, letters = len(rest), sum(map(len, rest)) or 1
+        other = sum(len(w) for w in rest if w[0] > "\u024f" and not "\u1e00" <= w[0] <= "\u1eff") / letters
+        copy = 1.0 if c in (ce, cj) else 0.0
+        if not copy:
+            have = Counter(tokens)
+            for field in by_field:
+                if len(field) >= 2 and abs(len(field) - len(tokens)) <= 0.5 * len(field):
+                    both = sum(min(k, have[w]) for w, k in Counter(field).items() if w in have)
+                    copy = max(copy, 2 * both / (len(field) + len(tokens)))
+            if any(ch > "\u2fff" for ch in c):
+                copy = max(copy, _dice(c, cj), _dice(c, ce))
+            # A copy that lost its end is a copy still.
+            if len(c) >= 12 and (ce.startswith(c) or cj.startswith(c)):
+                copy = max(copy, 0.97)
+        traits = [(len(w), *self.word(w)) for w in rest]
+        known = sum(k for k, a, _, _ in traits if a) / letters if n else 0.5
+        shaped = sum(k for k, _, a, _ in traits if a) / letters if n else 0.5
+        marked = sum(k for k, _, _, a in traits if a) / letters if n else 0.5
         latin_source = next((s for s in (ce, cj) if s and _latin(s) * 2 > len(s)), "")
         other_source = next((s for s in (ce, cj) if s and _latin(s) * 2 <= len(s)), "")
         expected = len(latin_source) * self.per_latin if latin_source else len(other_source) * self.per_other
-        ratio = np.log((len(c) + 1) / (expected + 1))
+        ratio = float(np.log((len(c) + 1) / (expected + 1)))
         long = min(1.0, expected / 100)
         short = max(0.0, -ratio)
-        s_text = en if canon(en) == latin_source and latin_source else (jp if latin_source else en or jp)
+        s_text = en if latin_source and latin_source is ce else (jp if latin_source else en or jp)
         ends, s_ends = _ends(vi), _ends(en) or _ends(jp)
-        cut = bool(_CUT.search(vi.rstrip(" \t\r\n　\xa0")[-8:]))
-        numbers, have = [w for w in source if w.isdigit()], set(tokens)
-        recall = sum(w in have for w in numbers) / len(numbers) if numbers else 1.0
+        cut = bool(_CUT.search(vi.rstrip(" \t\r\n\u3000\xa0")[-8:]))
+        digits, have = [w for w in source if w.isdigit()], set(tokens)
+        recall = sum(w in have for w in digits) / len(digits) if digits else 1.0
         stops = min(2.0, _stops(clean) / _stops(s_text))
         nf = _fields(s_text)
         fields = min(1.0, _fields(vi) / nf) if nf >= 2 else 1.0
@@ -242,8 +280,8 @@ def made_pairs(sound: list[tuple[str, str, str]], seed: int) -> list[tuple[str,
             lines = other[list(other)[rng.integers(len(other))]]
             swap = " ".join(lines[i] for i in rng.permutation(len(lines))[: rng.integers(1, 4)]).replace("{n}", names[0])
         out.append((en, jp, _variants(swap, rng), "wrong_language"))
-        lead, body, tail = list(_REFUSE.values())[rng.integers(len(_REFUSE))] if rng.random() < 0.5 else _REFUSE["vi"]
-        said = lead[rng.integers(len(lead))] + body[rng.integers(len(body))] + tail[rng.integers(len(tail))]
+        parts = _REFUSE[list(_REFUSE)[rng.integers(len(_REFUSE))]]
+        said = "".join(p[rng.integers(len(p))] for p in parts)
         said = (["", "", "", "", "Dịch: ", "Bản dịch: ", "Trả lời: "][rng.integers(7)] + said[:1].upper() + said[1:]).strip()
         out.append((en, jp, _variants(unmarked(said) if rng.random() < 0.1 else said, rng), "refusal"))
     return out
@@ -293,9 +331,13 @@ class Model:
             for k in range(0, len(order), BATCH):
                 rows = order[k : k + BATCH]
                 idx = np.concatenate([flat[ends[r] - size[r] : ends[r]] for r in rows])
-                s = self._scores(idx, size[rows], dense[rows])
+                # Half of the pairs go without their n-grams, so the pair features
+                # alone must tell defects whose words were never seen.
+                seen = (rng.random(len(rows)) < 0.5)[:, None]
+                sums = np.add.reduceat(self.w[idx], np.r_[0, np.cumsum(size[rows])[:-1]], axis=0)
+                s = seen * sums / np.sqrt(size[rows])[:, None] + dense[rows] @ self.v
                 g = (1 / (1 + np.exp(-np.clip(s, -30, 30))) - y[rows]) * care[rows] / len(rows)
-                each = np.repeat(g / np.sqrt(size[rows])[:, None], size[rows], axis=0)
+                each = np.repeat(seen * g / np.sqrt(size[rows])[:, None], size[rows], axis=0)
                 gw = np.stack([np.bincount(idx, weights=each[:, j], minlength=DIM) for j in range(len(LABELS))], axis=1) + 1e-6 * self.w
                 gv = dense[rows].T @ g + 1e-5 * self.v
                 step += 1
@@ -304,22 +346,26 @@ class Model:
                     s2 += 0.01 * (grad * grad - s2)
                     x -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s2 / (1 - 0.99**step)) + 1e-8)
 
-    def calibrate(self, pairs: list[tuple[str, str, str, str]], sound_weight: float = 10.0) -> None:
-        """Per label the threshold of the best F1; sound answers weigh more, as
-        they are far more frequent than defects."""
+    def calibrate(self, pairs: list[tuple[str, str, str, str]], sound_share: float = 0.999) -> None:
+        """Per label a threshold in the gap between held-out sound answers or
+        lower kinds and held-out defects, nearer to the former, because real
+        defects differ from made ones more than real sound answers do; where the
+        two overlap, the threshold of the best F1, sound answers weighing ten times.
+        ``sound_share`` of the sound answers are taken to be sound indeed."""
         s = self.scores(pairs)
         labels = np.array([p[3] for p in pairs])
         for j, kind in enumerate(LABELS):
             use = (labels == "") | (labels == kind) | np.isin(labels, KINDS[KINDS.index(kind) + 1 :])
             x, t = s[use, j], labels[use] == kind
-            wgt = np.where(labels[use] == "", sound_weight, 1.0)
+            low, high = np.quantile(x[~t], sound_share), np.quantile(x[t], 0.01)
+            if high > low:
+                self.thresholds[j] = low + GAP * (high - low)
+                continue
+            weight = np.where(labels[use] == "", 10.0, 1.0)
             order = np.argsort(-x)
-            tp, fp = np.cumsum(t[order]), np.cumsum(np.where(t[order], 0, wgt[order]))
-            f1 = 2 * tp / (tp + fp + t.sum())
-            best = np.flatnonzero(f1 >= f1.max() - 1e-9)
-            i = int(best[len(best) // 2])
-            low = x[order][min(i + 1, len(x) - 1)]
-            self.thresholds[j] = (x[order][i] + low) / 2
+            tp, fp = np.cumsum(t[order]), np.cumsum(np.where(t[order], 0, weight[order]))
+            i = int(np.argmax(2 * tp / (tp + fp + t.sum())))
+            self.thresholds[j] = (x[order][i] + x[order][min(i + 1, len(x) - 1)]) / 2
 
     def kinds(self, pairs: list[tuple[str, str, str]]) -> list[str | None]:
         over = self.scores(pairs) > self.thresholds
@@ -338,13 +384,14 @@ def train(sound: list[tuple[str, str, str]]) -> Model | Exact:
     if len(sound) < LEAST:
         return Exact()
     model = None
-    for size in (len(sound) // 4, len(sound)):  # the first, smaller one cleans the sample
+    # The first, smaller models only clean the sample of its real defects.
+    for size, share in ((len(sound) // 4, 0.94), (len(sound) // 4, 0.98), (len(sound), 0.999)):
         part = sound[: max(size, LEAST)]
         f = Features(part)
         cut = max(len(part) * 4 // 5, 1)
         model = Model(f)
         model.fit(made_pairs(part[:cut], 1))
-        model.calibrate(made_pairs(part[cut:], 2))
+        model.calibrate(made_pairs(part[cut:], 2), share)
         sound = [p for p, k in zip(sound, model.kinds(sound), strict=True) if k is None]
         if len(sound) < LEAST:
             break
@@ -360,7 +407,10 @@ def defects(log: DataFrame, lines: DataFrame, seq: str, answer: str, keys: list[
     spark = log.sparkSession
     one = lines.select(*keys, F.col(first).alias("__a"), F.col(second).alias("__b")).dropDuplicates(keys)
     pairs = many_to_one(log.select(F.col(seq).alias("__seq"), *keys, F.col(answer).alias("__v")), one, keys).select("__seq", "__a", "__b", "__v")
-    rows = pairs.filter(F.length("__v") > 8).orderBy(F.xxhash64("__seq"), "__seq").limit(sample).select("__a", "__b", "__v").collect()
+    # The lowest hashes; the bound lets only about three times the sample be sorted.
+    h = F.pmod(F.xxhash64("__seq"), F.lit(1 << 40))
+    bound = int((1 << 40) * min(1.0, 3 * sample / max(log.count(), 1)))
+    rows = pairs.filter((F.length("__v") > 8) & (h < bound)).orderBy(h, "__seq").limit(sample).select("__a", "__b", "__v").collect()
     model = spark.sparkContext.broadcast(train([(plain(a), plain(b), plain(v)) for a, b, v in rows]))
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
