@@ -8,20 +8,39 @@ folder of its own.
 from __future__ import annotations
 
 import atexit
+import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _ROOTS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the Python workers, once an application, so that
+    executors need no installation."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="loomline-code-")  # on the driver, which serves it
+    atexit.register(shutil.rmtree, folder, True)
+    keep = shutil.copytree(here, f"{folder}/src/loomline", ignore=shutil.ignore_patterns("__pycache__"))
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/loomline", "zip", os.path.dirname(keep)))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_root(spark: SparkSession) -> str:
     """Folder of this application inside the shared checkpoint folder."""
+    ship(spark)
     app = spark.sparkContext.applicationId
     if app not in _ROOTS:
         base = spark.conf.get("spark.checkpoint.dir", None)
