@@ -47,7 +47,7 @@ from loomline.session import written
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Labelled documents that the classifier is trained on, at most.
 SAMPLE, DIM, EPOCHS = 4000, 1 << 13, 6
-TRUST, ROUNDS, TOLERANCE, BINS = 0.9, 25, 1e-3, 4096
+TRUST, ROUNDS, TOLERANCE, BINS = 0.9, 25, 1e-3, 32768
 _CHUNK = 20_000
 _ENCODERS: dict = {}
 

@@ -3,7 +3,9 @@
 Variable-capacity best-fit decreasing.  A container may be opened in any of a
 few permitted sizes up to the capacity: the one of least expected cost per used
 unit is opened, judged by what still has to be placed; at the end every container
-is downsized to the smallest permitted size that holds its contents.
+is downsized to the smallest permitted size that holds its contents.  What a new
+container can expect is estimated in two ways, with and without counting on the
+room in open ones; both packings are planned and the cheaper one is taken.
 
 Best fit only looks at lengths, so it is run on the histogram of lengths (at most
 capacity + 1 entries, whatever the number of items): items of one length go to
@@ -45,7 +47,7 @@ _SHIFT = 40
 class Plan:
     """Packing of a histogram {length: count} into containers."""
 
-    def __init__(self, histogram: dict[int, int], capacity: int, sizes: tuple[float, ...] = SIZES, overhead: float = OVERHEAD):
+    def __init__(self, histogram: dict[int, int], capacity: int, sizes: tuple[float, ...] = SIZES, overhead: float = OVERHEAD, count_room: bool = False):
         self.capacity = capacity
         self.sizes = sorted({max(1, round(capacity * s)) for s in sizes} | {capacity})
         self.segments: list[tuple[int, int, int, int]] = []  # length, first rank, first bin, items a bin
@@ -61,7 +63,7 @@ class Plan:
             while count:
                 at = bisect_left(self._keys, length)
                 if at == len(self._keys):
-                    room += self._open_bins(length, count, left - room)
+                    room += self._open_bins(length, count, left - room * count_room)
                     continue
                 residual = self._keys[at]
                 start, n, size = self._pop(residual)
@@ -85,6 +87,10 @@ class Plan:
             self.bins = 1
         self.done.sort()
 
+    def cost(self) -> float:
+        """Size of all containers after downsizing, and their overhead."""
+        return sum(n * (self.sizes[bisect_left(self.sizes, used)] + self.overhead) for _, n, used in self.done)
+
     def _open_bins(self, length: int, count: int, expected: int) -> int:
         """Opens containers of the least-cost size; returns their room."""
 
@@ -117,6 +123,10 @@ class Plan:
         return got
 
 
+def best_plan(histogram: dict[int, int], capacity: int, sizes: tuple[float, ...] = SIZES, overhead: float = OVERHEAD) -> Plan:
+    return min((Plan(histogram, capacity, sizes, overhead, room) for room in (False, True)), key=Plan.cost)
+
+
 def pieces_of(items: DataFrame, ident: str, capacity: Column) -> DataFrame:
     """ident, piece, start, length; needs the column __length."""
     n = F.greatest(F.lit(1), F.ceil(F.col("__length") / capacity)).cast("int")
@@ -140,7 +150,7 @@ def pack(items: DataFrame, ident: str, length: Column, profiles: list[tuple[str,
     histogram: list[dict[int, int]] = [{} for _ in profiles]
     for r in counts.groupBy("__p", "length").agg(F.sum("__n").alias("n")).collect():  # at most capacity + 1 a profile
         histogram[r[0]][r[1]] = r[2]
-    plans = [Plan(h, c) for h, (_, c) in zip(histogram, profiles, strict=True)]
+    plans = [best_plan(h, c) for h, (_, c) in zip(histogram, profiles, strict=True)]
     before = Window.partitionBy("__p", "length").orderBy("__salt").rowsBetween(Window.unboundedPreceding, -1)
     shift = counts.withColumn("__shift", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
     order = Window.partitionBy("__p", "length", "__salt").orderBy(ident, "piece")

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from loomline.llm.packing import Plan, fill_report, pack
+from loomline.llm.packing import Plan, best_plan, fill_report, pack
 
 
 def one_by_one(lengths, capacity):
@@ -31,7 +31,7 @@ def test_histogram_packing_is_best_fit_item_by_item(lengths):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 40), max_size=80))
 def test_permitted_sizes_hold_all_items(lengths):
-    plan = Plan(Counter(lengths), 40)
+    plan = best_plan(Counter(lengths), 40)
     assert sum(n * used for _, n, used in plan.done) == sum(lengths)
     assert sum(n for _, n, _ in plan.done) == plan.bins
     assert all(used <= 40 for _, _, used in plan.done)

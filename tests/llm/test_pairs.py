@@ -10,8 +10,8 @@ DATA = "/root/testdata/sf0.01"
 def sound():
     c = duckdb.connect()
     rows = c.execute(
-        f"""SELECT any_value(j.english), any_value(coalesce(j.japanese, '')), t.vietnamese FROM '{DATA}/story_translations.parquet/*.parquet' t
-        JOIN '{DATA}/story_job.parquet/*.parquet' j ON j.key = t.key AND j."sourceHash" = t."sourceHash"
+        f"""SELECT any_value(j.english), any_value(coalesce(j.japanese, '')), t.vietnamese FROM '{DATA}/story_translations.parquet' t
+        JOIN '{DATA}/story_job.parquet' j ON j.key = t.key AND j."sourceHash" = t."sourceHash"
         WHERE t.status IN ('LOCAL_OK', 'REVIEW') AND length(t.vietnamese) > 8 GROUP BY t.seq, t.vietnamese ORDER BY t.seq"""
     ).fetchall()
     return rows
