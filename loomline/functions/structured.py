@@ -20,8 +20,13 @@ def response_parts(parts: Column) -> Column:
 
 
 def parsed(text: Column) -> Column:
-    """The response as a variant, null if it is no JSON."""
-    return F.try_parse_json(unfenced(line_feeds(text)))
+    """The response as a variant, null if it is no JSON.
+
+    The parser stops after the first value, so the text is also read inside an
+    array and an object, where nothing may follow it."""
+    t = unfenced(line_feeds(text))
+    alone = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]"))).isNotNull() & F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}"))).isNotNull()
+    return F.when(alone, F.try_parse_json(t))
 
 
 def parse_error(text: Column) -> Column:

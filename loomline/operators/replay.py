@@ -38,7 +38,7 @@ def revalidated(log: DataFrame, lines: DataFrame, glossary: Glossary) -> DataFra
     valid: accepted (an inherited text without a new check); requeued: has text
     that fails; failed: an empty technical error; none: other empty records.
     """
-    new = compose(latest_records(log, lines).select("seq", "key", "vietnamese", "status"), "vietnamese")
+    new = compose(latest_records(log, lines).select("seq", "key", "vietnamese", "status", F.col("vietnamese").alias("composed")), "composed")
     both = new.join(compose(lines, "english", "japanese").select("key", "id", "english", "japanese"), "key")
     has = F.coalesce(F.col("vietnamese") != "", F.lit(False))
     trusted = has & F.col("status").eqNullSafe("INHERITED_R3")
@@ -49,7 +49,8 @@ def revalidated(log: DataFrame, lines: DataFrame, glossary: Glossary) -> DataFra
         .when(F.col("status").eqNullSafe("TECHNICAL_ERROR"), "failed")
         .otherwise("none")
     )
-    return checked(both, glossary).withColumn("route", route).select("key", "seq", "status", "vietnamese", "route", "check")
+    out = checked(both, glossary, candidate="composed").withColumn("route", route)
+    return out.select("key", "seq", "status", "vietnamese", "composed", "route", "check")
 
 
 def failure_backlog(failures: DataFrame, lines: DataFrame, valid: DataFrame) -> DataFrame:
@@ -74,7 +75,7 @@ class Resume:
         """Metadata lines with the text they must have: kept, added or corrected.
         ``error`` is what would stop the run."""
         rows = compose(self.lines.filter(keeps_source(F.col("id"))), "english").withColumn("target", strip(line_feeds(F.col("english"))))
-        now = self.routes.select("key", "route", F.col("vietnamese").alias("__now"))
+        now = self.routes.select("key", "route", F.col("composed").alias("__now"))
         same = (F.col("route") == "valid") & (strip(line_feeds(F.col("__now"))) == F.col("target"))
         act = F.when(F.coalesce(same, F.lit(False)), "kept").when(F.col("route").eqNullSafe("requeued"), "corrected").otherwise("added")
         out = checked(rows.join(now, "key", "left").withColumn("action", act), self.glossary, candidate="target")
