@@ -147,12 +147,11 @@ def pilot_batches(batches: DataFrame, pilot_items: int = 100) -> DataFrame:
 def until_first_gate(gated: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The batches that a run makes: up to the first that trips a gate, and no more
     than the pilot if too few of its lines are accepted."""
-    cut = gated.agg(F.min(F.when(F.col("gate").isNotNull(), F.col("batch_id"))).alias("cut"))
+    cut = gated.agg(F.min(F.when(F.col("gate").isNotNull(), F.col("batch_id")))).first()[0]
     pilot = pilot_batches(gated.select("batch_id", "items", "accepted"), limits.pilot_items)
-    verdict = pilot.agg(F.max("batch_id").alias("end"), (F.sum("accepted") / F.sum("items")).alias("rate"))
-    both = F.broadcast(cut.crossJoin(verdict))  # one row
-    stop = F.least("cut", F.when(F.col("rate") < limits.pilot_acceptance, F.col("end")))
-    return gated.join(both, how="cross").filter(stop.isNull() | (F.col("batch_id") <= stop)).drop("cut", "end", "rate")
+    end, rate = pilot.agg(F.max("batch_id"), F.sum("accepted") / F.sum("items")).first()
+    stops = [x for x in (cut, end if rate is not None and rate < limits.pilot_acceptance else None) if x is not None]
+    return gated.filter(F.col("batch_id") <= min(stops)) if stops else gated
 
 
 def pilot_verdict(batches: DataFrame, limits: Limits = Limits()) -> DataFrame:

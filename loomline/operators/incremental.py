@@ -65,29 +65,32 @@ class IncrementalTable:
     def _place(self, df: DataFrame) -> DataFrame:
         return df.filter(F.col(self.key).isNotNull()).select(self.key, self.version).distinct().withColumn(PART, partition_of(self.key, self.parts))
 
-    def _replace(self, df: DataFrame, path: str) -> None:
-        (
-            df.repartition(PART)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("compression", "zstd")
-            .partitionBy(PART)
-            .parquet(path)
-        )
+    def _replace(self, rows: DataFrame, path: str, parts: list[int]) -> None:
+        """Replaces the given partitions of a table by ``rows``, which are staged
+        first, as they may come from the same table.  Dynamic overwrite leaves
+        partitions without new rows alone, so those are removed."""
+        staged = written(rows, "staged")
+        got = {r[0] for r in staged.select(PART).distinct().collect()}  # at most ``self.parts``
+        if got or not exists(self.spark, path):
+            (
+                staged.repartition(PART)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .option("compression", "zstd")
+                .partitionBy(PART)
+                .parquet(path)
+            )
+        for p in set(parts) - got:
+            remove(self.spark, f"{path}/{PART}={p}")
 
     def commit(self, current: DataFrame, parts: list[int] | None = None) -> None:
         """Makes ``current`` the state of the given partitions (None: of all)."""
         placed = self._place(current)
         if parts is None:
-            staged = written(placed, "state")
-            gone = [r[0] for r in self.state().select(PART).distinct().collect()]
+            parts = list(range(self.parts))
         else:
-            staged = written(placed.filter(F.col(PART).isin(parts)), "state")
-            gone = parts
-        self._replace(staged, self.state_path)
-        left = {r[0] for r in staged.select(PART).distinct().collect()}
-        for p in set(gone) - left:  # a partition that lost its last row
-            remove(self.spark, f"{self.state_path}/{PART}={p}")
+            placed = placed.filter(F.col(PART).isin(parts))
+        self._replace(placed, self.state_path, parts)
         prints = written(fingerprints(self.state(), PART, [self.key, self.version]), "prints")
         prints.write.mode("overwrite").parquet(self.prints_path)
 
@@ -111,7 +114,7 @@ class IncrementalTable:
             .groupBy(PART, self.key)
             .agg(F.min("__c").alias("change"))
         )
-        self._replace(what, self.changes_path)
+        self._replace(what, self.changes_path, todo)
         return self.spark.read.schema(f"`{self.key}` string, change string, {PART} int").parquet(self.changes_path).filter(F.col(PART).isin(todo)).select(self.key, "change")
 
     def run(self, current: DataFrame, process) -> list[int]:
@@ -133,10 +136,9 @@ def due_lines(job: DataFrame, log: DataFrame, runs: DataFrame, parts: int = 32,
     log rows is one row per map task before the shuffle.
     """
     spark = job.sparkSession
-    at = runs.filter("outcome = 'COMPLETE'").agg(F.max("finished_at").alias("t"))
+    at = runs.filter("outcome = 'COMPLETE'").agg(F.unix_micros(F.max("finished_at"))).first()[0]
     then = (
-        log.filter(F.col("key").isNotNull() & F.col("updatedAt").isNotNull())
-        .join(F.broadcast(at), F.col("updatedAt") <= F.col("t"), "inner")  # one row
+        log.filter(F.col("key").isNotNull() & (F.col("updatedAt") <= F.timestamp_micros(F.lit(at).cast("bigint"))))
         .groupBy("key")
         .agg(F.max_by("sourceHash", F.struct("updatedAt", "seq")).alias("sourceHash"))
     )

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 def final_report(lines: DataFrame, records: DataFrame) -> DataFrame:
     """One row; COMPLETE only with a record for every line and no technical error."""
-    total = F.broadcast(lines.agg(F.count(F.lit(1)).alias("total")))
+    total = F.lit(lines.count()).alias("total")
     by = lambda s: F.count_if(F.col("status") == s)
     r = records.agg(F.count(F.lit(1)).alias("completed"), by("INHERITED_R3").alias("inherited"), by("LOCAL_OK").alias("local_ok"), by("REVIEW").alias("review"), by("TECHNICAL_ERROR").alias("technical_errors"))
-    out = r.crossJoin(total)
+    out = r.withColumn("total", total)
     done = (F.col("completed") == F.col("total")) & (F.col("technical_errors") == 0)
     return out.select("total", "completed", (F.col("total") - F.col("completed")).alias("remaining"), "inherited", "local_ok", "review", "technical_errors", F.when(done, "COMPLETE").otherwise("COMPLETE_WITH_ERRORS").alias("status"))
 
@@ -22,8 +22,8 @@ def usage_totals(requests: DataFrame) -> DataFrame:
     return once.select("phase", F.explode("usage").alias("counter", "n")).groupBy("phase", "counter").agg(F.sum("n").alias("total"))
 
 
-def throughput(requests: DataFrame, remaining: DataFrame) -> DataFrame:
-    """Lines a minute and the time left for ``remaining`` (one row, one number).
+def throughput(requests: DataFrame, remaining: int) -> DataFrame:
+    """Lines a minute and the time left for ``remaining`` lines.
     Times under a millisecond count as one, times under a second of the whole as
     one second."""
     once = requests.dropDuplicates(["request_id"])
@@ -34,7 +34,7 @@ def throughput(requests: DataFrame, remaining: DataFrame) -> DataFrame:
     per = per.withColumn("per_minute", F.col("accepted") / minutes).withColumn("tokens_per_second", F.when(F.col("tokens") > 0, F.col("tokens") / F.col("seconds")).otherwise(0.0))
     eta = F.col("remaining") / F.col("per_minute")
     hm = F.concat(F.floor(eta / 60).cast("string"), F.lit("h"), F.lpad(F.ceil(eta % 60).cast("string"), 2, "0"))
-    return per.crossJoin(F.broadcast(remaining.toDF("remaining"))).withColumn("eta", F.when(F.col("per_minute") > 0, hm))
+    return per.withColumn("remaining", F.lit(remaining).cast("bigint")).withColumn("eta", F.when(F.col("per_minute") > 0, hm))
 
 
 def request_rates(requests: DataFrame) -> DataFrame:

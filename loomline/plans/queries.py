@@ -299,7 +299,7 @@ r AS (SELECT count(DISTINCT key) AS remaining FROM story_job WHERE key NOT IN (S
 SELECT requests, accepted, tokens, remaining, round(per_minute, 3) AS per_minute, round(CASE WHEN tokens > 0 THEN tokens / seconds ELSE 0 END, 3) AS tokens_per_second,
   floor(remaining / per_minute / 60)::BIGINT::VARCHAR || 'h' || lpad(ceil((remaining / per_minute) % 60)::BIGINT::VARCHAR, 2, '0') AS eta FROM b, r""")
 def q31_throughput(spark, sf):
-    left = table(spark, sf, "story_job").join(table(spark, sf, "story_translations").select("key"), "key", "left_anti").filter("key is not null").agg(F.countDistinct("key"))
+    left = table(spark, sf, "story_job").join(table(spark, sf, "story_translations").select("key"), "key", "left_anti").filter("key is not null").agg(F.countDistinct("key")).first()[0]
     t = report.throughput(table(spark, sf, "story_requests"), left)
     return t.select("requests", "accepted", "tokens", "remaining", F.round("per_minute", 3).alias("per_minute"), F.round("tokens_per_second", 3).alias("tokens_per_second"), "eta")
 

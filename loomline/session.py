@@ -48,7 +48,6 @@ def shared_root(spark: SparkSession) -> str:
             if not spark.sparkContext.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             base = "file://" + tempfile.mkdtemp(prefix="loomline-")
-            spark.conf.set("spark.checkpoint.dir", base)
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(base)
         root = _ROOTS[app] = f"{base.rstrip('/')}/loomline-{uuid.uuid4().hex}"

@@ -161,7 +161,7 @@ def test_job_glossary_log_and_bundle_files(spark, tmp_path):
     for cut in (len(text) - 8, len(text)):
         log = tmp_path / f"log{cut}.jsonl"
         log.write_text(text[:cut] + '{"seq": 9, "ke')
-        assert sorted(r.seq for r in files.read_log(spark, str(log), "seq bigint, key string").collect()) == list(range(5))
+        assert sorted(r.seq for r in files.read_log(spark, str(log), "seq bigint, key string").collect()) == list(range(5 if cut == len(text) else 4))
     records = spark.createDataFrame([("b", "x"), ("A", "y"), ("a", "z")], "key string, vietnamese string")
     archive = files.write_bundle(records, spark.createDataFrame([(3,)], "total int"), str(tmp_path / "out"), "j", "hash")
     names = zipfile.ZipFile(archive).namelist()

@@ -81,7 +81,7 @@ def test_numbers_and_terms(spark):
         ("Grr ah hmm", "Grr ah hmm", "TXT_1", []),
         ("Go", None, "TXT_1", ["EMPTY"]),
         ("Go", "đi LOOMKEEP000001END", "TXT_1", ["UNRESTORED_MARKER"]),
-        ("Go", "<think>đi", "TXT_1", ["MODEL_META_LEAK"]),
+        ("Go", "```đi", "TXT_1", ["MODEL_META_LEAK"]),
         ("Pay 5,000 gold", "Trả 5.000 vàng", "TXT_1", []),
         ("Pay 5 gold", "Trả 6 vàng", "TXT_1", ["NUMBER_MISMATCH"]),
         (None, "", "TXT_1", ["EMPTY"]),
