@@ -236,12 +236,12 @@ class Mix:
         spark = self.members.sparkSession
         used = self.selection().groupBy(self.source).agg(F.count(F.lit(1)).alias("documents"), F.sum("copies").alias("uses"), F.sum(F.col("tokens") * F.col("copies")).alias("mixed_tokens"))
         used = written(used, "used")
-        total = F.broadcast(used.agg(F.sum("mixed_tokens").alias("__total")))  # one row
+        total = F.lit(used.agg(F.sum("mixed_tokens")).first()[0] or 0)
         rows = [(n, float(s), int(m), int(h), float(g)) for n, s, m, h, g in zip(self.names, self.share, self.most, self.have, self.goal, strict=True)]
         wanted = F.broadcast(spark.createDataFrame(rows, f"`{self.source}` string, target_share double, max_repeats int, available_tokens bigint, goal_tokens double"))
-        out = used.join(wanted, self.source, "right").crossJoin(total)
+        out = used.join(wanted, self.source, "right")
         zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-        actual = F.coalesce(F.col("mixed_tokens") / F.col("__total"), F.lit(0.0))
+        actual = F.coalesce(F.try_divide("mixed_tokens", total), F.lit(0.0))
         return out.select(self.source, "target_share", actual.alias("actual_share"), "max_repeats", "available_tokens", zero("documents"), zero("uses"), zero("mixed_tokens"), (F.abs(actual - F.col("target_share")) <= 0.005).alias("reached"))
 
 

@@ -141,10 +141,11 @@ def pack(items: DataFrame, ident: str, length: Column, profiles: list[tuple[str,
     for _, capacity in profiles:
         if capacity is None or capacity < 1:
             raise ValueError("a capacity must be 1 or more")
-    spark = items.sparkSession
     narrow = written(items.select(ident, F.coalesce(length, F.lit(0)).cast("bigint").alias("__length")), "lengths")
-    limits = F.broadcast(spark.createDataFrame([(i, c) for i, (_, c) in enumerate(profiles)], "__p int, __capacity bigint"))
-    pieces = pieces_of(narrow.crossJoin(limits), ident, F.col("__capacity")).drop("__length", "__capacity")
+    # Every item is packed once for each profile.
+    limits = F.array(*[F.struct(F.lit(i).alias("p"), F.lit(c).cast("bigint").alias("c")) for i, (_, c) in enumerate(profiles)])
+    each = narrow.select(ident, "__length", F.explode(limits).alias("__l")).select(ident, "__length", F.col("__l.p").alias("__p"), F.col("__l.c").alias("__capacity"))
+    pieces = pieces_of(each, ident, F.col("__capacity")).drop("__length", "__capacity")
     pieces = pieces.withColumn("__salt", F.pmod(F.xxhash64(ident, "piece"), F.lit(SALTS)).cast("int"))
     counts = written(pieces.groupBy("__p", "length", "__salt").agg(F.count(F.lit(1)).alias("__n")), "counts")
     histogram: list[dict[int, int]] = [{} for _ in profiles]
