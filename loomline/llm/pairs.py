@@ -41,7 +41,7 @@ SAMPLE, LEAST, DIM, EPOCHS, BATCH = 4000, 50, 1 << 15, 12, 512
 GAP = 0.35
 
 # Words that stand for a missing value, letters and digits only.
-STAND_IN = frozenset("null none nil na nan empty undefined missing blank trống rỗng khôngcó chưacó chưadịch tbd todo không có trong rong khongco なし 空 無し なし 空白 未翻訳 없음 无 空白 notavailable notranslation novalue nodata notext".split())
+STAND_IN = frozenset("null none nil na nan empty undefined missing blank trống rỗng khôngcó chưacó chưadịch tbd todo trong rong khongco なし 空 無し なし 空白 未翻訳 없음 无 空白 notavailable notranslation novalue nodata notext".split())
 
 _LETTERS = re.compile(r"[^\W_]+")
 #: Runs of Latin letters and digits, and runs of other letters.
@@ -357,7 +357,9 @@ class Model:
         for j, kind in enumerate(LABELS):
             use = (labels == "") | (labels == kind) | np.isin(labels, KINDS[KINDS.index(kind) + 1 :])
             x, t = s[use, j], labels[use] == kind
-            low, high = np.quantile(x[~t], sound_share), np.quantile(x[t], 0.01)
+            others = {k: x[labels[use] == k] for k in set(labels[use]) - {kind}}
+            low = max((np.quantile(v, sound_share if k == "" else min(sound_share, 0.99)) for k, v in others.items() if len(v)), default=0.0)
+            high = np.quantile(x[t], 0.01)
             if high > low:
                 self.thresholds[j] = low + GAP * (high - low)
                 continue
