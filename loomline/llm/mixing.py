@@ -146,7 +146,10 @@ class Mix:
         kind = docs.schema[ident].dataType.simpleString()
         self.kind = f"ident {kind}, s int, tokens bigint"
         base = docs.select(F.col(ident).alias("ident"), F.col(text).alias("text"), F.col(source).alias("source")).filter(F.col("source").isNull() | F.col("source").isin(names))
-        labelled = base.filter("source is not null and text is not null").orderBy(F.xxhash64("ident"), "ident").limit(SAMPLE).select("text", "source").collect()
+        # The lowest hashes; the bound lets only about three times the sample be sorted.
+        h = F.pmod(F.xxhash64("ident"), F.lit(1 << 40))
+        bound = int((1 << 40) * min(1.0, 3 * SAMPLE / max(docs.count(), 1)))
+        labelled = base.filter(F.col("source").isNotNull() & F.col("text").isNotNull() & (h < bound)).orderBy(h, "ident").limit(SAMPLE).select("text", "source").collect()
         weights = spark.sparkContext.broadcast(train([r.text for r in labelled], np.array([at[r.source] for r in labelled], dtype=int), max(k, 1)))
 
         def member(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
