@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _ROOTS: dict[str, str] = {}
 _SHIPPED: set[str] = set()
+_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
@@ -26,6 +27,9 @@ def ship(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     _SHIPPED.add(app)
+    # Batches to Python are bounded by size as well, as texts may be very long.
+    if spark.conf.get(_ARROW_BYTES, None) in (None, str(2**31 - 1)):
+        spark.conf.set(_ARROW_BYTES, str(32 << 20))
     here = os.path.dirname(os.path.abspath(__file__))
     folder = tempfile.mkdtemp(prefix="loomline-code-")  # on the driver, which serves it
     atexit.register(shutil.rmtree, folder, True)
