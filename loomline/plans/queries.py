@@ -390,3 +390,28 @@ def q42_streamed_latest(spark, sf):
     held = LatestTable(spark, work_dir(spark, "state"), schemas.RECORD)
     latest_stream(spark, folder, schemas.RECORD, line_index(table(spark, sf, "story_job")), held, files_per_batch=2).awaitTermination()
     return held.read().select("key", "seq", "status")
+
+
+def _glossary_terms(spark, sf):
+    """(term, kept) of the whole glossary; a kept term counts with its case only."""
+    g = _glossary(spark, sf)
+    return [(t, True) for t in g.keep] + [(t, False) for t in g.translate if t not in g.keep]
+
+
+@query()
+def q43_glossary_counts(spark, sf):
+    """q06 for every term of the glossary."""
+    terms = _glossary_terms(spark, sf)
+    n = F.array(*[F.struct(F.lit(t).alias("term"), term_count(F.coalesce("english", F.lit("")), t, k).cast("bigint").alias("n")) for t, k in terms])
+    hits = table(spark, sf, "story_job").select(F.inline(F.filter(n, lambda x: x.n > 0)))
+    sums = hits.groupBy("term").agg(F.count(F.lit(1)).alias("lines"), F.sum("n").alias("occurrences"))
+    every = spark.createDataFrame([(t,) for t, _ in terms], "term string")
+    return every.join(sums, "term", "left").select("term", F.coalesce("lines", F.lit(0)).cast("bigint").alias("lines"), F.coalesce("occurrences", F.lit(0)).cast("bigint").alias("occurrences"))
+
+
+@query()
+def q44_glossary_batch_terms(spark, sf):
+    """q07 for every term of the glossary."""
+    terms, b = _glossary_terms(spark, sf), _batched(spark, sf)
+    keep = batching.batch_terms(b, "english", [t for t, k in terms if k], True)
+    return keep.unionByName(batching.batch_terms(b, "english", [t for t, k in terms if not k], False))

@@ -1,0 +1,42 @@
+import re
+from collections import Counter
+
+from oracle import DATA
+
+from loomline.plans.queries import QUERIES
+from loomline.session import table
+
+
+def brute(rows, terms):
+    """(key, term) -> uses, by Python's own patterns."""
+    out = Counter()
+    for key, text in rows:
+        for t, kept in terms:
+            n = len(re.findall(rf"(?<![^\W]){re.escape(t)}(?![^\W])", text or "", 0 if kept else re.I))
+            if n:
+                out[key, t] += n
+    return out
+
+
+def terms_of(spark):
+    return [(r.term, r.target is None) for r in table(spark, DATA, "glossary_terms").select("term", "target").distinct().collect()]
+
+
+def test_counts_of_the_whole_glossary(spark):
+    terms = terms_of(spark)
+    want = brute([(r.ord, r.english) for r in table(spark, DATA, "story_job").select("ord", "english").collect()], terms)
+    lines, uses = Counter(), Counter()
+    for (_, t), n in want.items():
+        lines[t] += 1
+        uses[t] += n
+    got = {r.term: (r.lines, r.occurrences) for r in QUERIES["q43_glossary_counts"](spark, DATA).collect()}
+    assert got == {t: (lines[t], uses[t]) for t, _ in terms}
+    assert got["stone tablet"][0] > 0
+
+
+def test_batch_terms_of_the_whole_glossary(spark):
+    batch = {r.ord: r.batch_id for r in QUERIES["q19_greedy_batches"](spark, DATA).collect()}
+    rows = [(batch[r.ord], r.english) for r in table(spark, DATA, "story_job").select("ord", "english").collect()]
+    got = [tuple(r) for r in QUERIES["q44_glossary_batch_terms"](spark, DATA).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == set(brute(rows, terms_of(spark)))
