@@ -96,3 +96,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer partitions than there are cores, dealt out to all of them.
+
+    Only small inputs have so few, so what is shuffled is at most a scan partition
+    for each core; any larger input stays where it is.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
