@@ -106,3 +106,46 @@ def spread(df: DataFrame) -> DataFrame:
     """
     n = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """Catalyst's estimate of a plan's size; for a file scan the bytes of its files.
+    0 where it knows nothing, as for rows that come from the driver."""
+    n = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return n if n < 1 << 60 else 0
+
+
+def parts_for(size: int, least: int, part_bytes: int = 256 << 20) -> int:
+    """So many partitions that none holds more than about ``part_bytes``."""
+    return max(least, -(-size // part_bytes))
+
+
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, none if it is missing.  For folders of a few entries."""
+    p, fs = hadoop_path(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def publish(spark: SparkSession, path: str, text: str) -> None:
+    """Creates a small file as a whole: readers see all of it or nothing.  The file
+    must not exist, so of two writers one fails."""
+    p, fs = hadoop_path(spark, path)
+    part, _ = hadoop_path(spark, f"{path}.{uuid.uuid4().hex}.part")
+    out = fs.create(part, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if fs.exists(p) or not fs.rename(part, p):
+        fs.delete(part, False)
+        raise FileExistsError(path)
+
+
+def content(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    p, fs = hadoop_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream)).decode()
+    finally:
+        stream.close()
