@@ -79,7 +79,7 @@ def p7_shares(spark, sf_dir):
 def _subjects(spark, sf_dir):
     # A fixed table of a few rows.
     names = [r.subject for r in table(spark, sf_dir, "subject_areas").select("subject").orderBy("subject").collect()]
-    return document_subjects(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "subject_labels"), "subject", names)
+    return document_subjects(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "subject_labels"), "subject", names, "lang")
 
 
 def p8_found(spark, sf_dir):
