@@ -4,20 +4,26 @@
 2. A linear classifier on hashed words is trained on a bounded sample of the
    labelled table (documents with a source of the target list) and predicts the
    domain posterior of every document.  Its membership is ``TRUST`` parts the
-   label and the rest the posterior; a document without label has the posterior.
-3. Nonnegative rates: distributed projected-gradient least squares.  Rates start
-   at 0 and are projected on [0, max_repeats]; a round needs the sums of
-   rate x tokens x membership over all documents, a vector of one number a
-   source.  A document's rate follows from the rounds' gradients, so rates are
-   recomputed in the map and never stored or sent.
-4. Whole copies: a document is taken floor(scale x rate + u) times, u uniform from
-   a hash of its id, at most max_repeats.  The scale of each source is the one at
-   which its real tokens come nearest to its target; it is read off a histogram of
-   the scales at which documents gain a copy (``BINS`` bins a source).
+   label and the rest the posterior, as some texts stand under another source's
+   name; a document without label has the posterior.
+3. Nonnegative rates by distributed projected-gradient least squares: a document's
+   rate is the product of its membership with one number a source, projected on
+   [0, max_repeats], and these numbers are moved against the gradient of the squared
+   distance between expected and wanted totals, scaled by the Gauss-Newton matrix
+   and projected on their own bounds.  A round needs the sums of rate x tokens x
+   membership over all documents and that matrix: k + k x k numbers a task for k
+   sources.  Rates follow from k numbers, so they are never stored or sent.  Rounds
+   end when all totals are met within TOLERANCE or the distance falls no further.
+4. Whole copies: a document is taken floor(rate) or floor(rate) + 1 times, the
+   expectation being its rate.  Within a batch the documents of a source are rounded
+   systematically, in order of their size from a hashed offset, so the batch's sum is
+   kept to one copy.  No source's total is corrected afterwards.
 
 The total is the greatest at which every source that has documents can reach its
-target; with ``total`` given, sources that cannot reach theirs stop at their cap
-and the report says so.
+target, less HEADROOM; with ``total`` given (a number, or "corpus" for the tokens of
+all documents with a source of the list), sources that cannot reach theirs stop at
+their cap and the report says so.  The report has the expected shares of the fit
+beside the real ones.
 
 Defined cases: documents without tokens (null or empty text) are not selected;
 documents of a source that has no target are not selected either; those with a
@@ -30,54 +36,71 @@ texts are separate documents; empty tables give an empty mix.
 
 from __future__ import annotations
 
+import ast
 import base64
-import importlib.util
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles, TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.llm.words import slices, words
-from loomline.session import written
+from loomline.session import ship, spread, written
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Labelled documents that the classifier is trained on, at most.
 SAMPLE, DIM, EPOCHS = 4000, 1 << 13, 6
-TRUST, ROUNDS, TOLERANCE, BINS = 0.9, 25, 1e-3, 32768
-_CHUNK = 20_000
+TRUST, ROUNDS, TOLERANCE, HEADROOM = 0.97, 40, 5e-4, 0.02
+_CHUNK, _CUT = 20_000, re.compile(r"[^\W_](?= [^\W_])")
 _ENCODERS: dict = {}
+_SENT: set = set()
 
 
-def encoder(path: str):
+def pattern_of(path: str) -> str:
+    """The pattern that splits texts, which stands as a constant beside the vocabulary."""
+    with open(os.path.join(os.path.dirname(path), "__init__.py"), encoding="utf-8") as f:
+        for node in ast.parse(f.read()).body:
+            if isinstance(node, ast.Assign) and getattr(node.targets[0], "id", "") == "PATTERN":
+                return ast.literal_eval(node.value)
+    raise ValueError(f"no pattern beside {path}")
+
+
+def encoder(path: str, pattern: str | None = None):
     """One encoder a worker process."""
     if path not in _ENCODERS:
         import tiktoken
 
-        spec = importlib.util.spec_from_file_location("vocabulary_files", os.path.join(os.path.dirname(path), "__init__.py"))
-        module = importlib.util.module_from_spec(spec)
-        spec.loader.exec_module(module)
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _ENCODERS[path] = tiktoken.Encoding("public", pat_str=module.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        _ENCODERS[path] = tiktoken.Encoding("public", pat_str=pattern or pattern_of(path), mergeable_ranks=ranks, special_tokens={})
     return _ENCODERS[path]
 
 
-def count_tokens(text: str | None, path: str = TOKENIZER) -> int:
-    """Whole text; very long ones are encoded in parts cut at blanks, where the
-    tokenizer's words end."""
+def shipped(spark: SparkSession, path: str):
+    """A function for the workers that gives the encoder; they get its file."""
+    ship(spark)
+    pattern, name, key = pattern_of(path), os.path.basename(path), (spark.sparkContext.applicationId, path)
+    if key not in _SENT:
+        _SENT.add(key)
+        spark.sparkContext.addFile(path)
+    return lambda: encoder(SparkFiles.get(name), pattern)
+
+
+def count_tokens(text: str | None, e=None) -> int:
+    """Tokens of a whole text.  A very long one is encoded in parts that end between a
+    letter or digit and a single blank before another: there the pattern always ends
+    a word, and a word's merges don't look beyond it, so the sum is exact."""
     if not text:
         return 0
-    e, n = encoder(path), 0
-    while len(text) > _CHUNK:
-        at = text.find(" ", _CHUNK)
-        if at < 0:
-            break
-        n += len(e.encode_ordinary(text[:at]))
-        text = text[at:]
+    e, n = e or encoder(TOKENIZER), 0
+    while len(text) > _CHUNK and (m := _CUT.search(text, _CHUNK)):
+        n += len(e.encode_ordinary(text[: m.end()]))
+        text = text[m.end() :]
     return n + len(e.encode_ordinary(text))
 
 
@@ -119,18 +142,15 @@ def posterior(texts, w: np.ndarray) -> np.ndarray:
     return out
 
 
-def rates(member: np.ndarray, cap: np.ndarray, history: np.ndarray) -> np.ndarray:
-    """Rates after the rounds whose steps are the rows of ``history``."""
-    r = np.zeros(len(member))
-    for step in history:
-        r = np.clip(r - member @ step, 0, cap)
-    return r
+def rates(member: np.ndarray, cap: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Rates at the sources' levels."""
+    return np.clip(member @ level, 0, cap)
 
 
 class Mix:
     """A fitted mix: ``selection`` (ident, source, tokens, copies) and ``report``."""
 
-    def __init__(self, docs: DataFrame, ident: str, text: str, source: str, targets: list[tuple[str, float, int]], total: float | None = None, tokenizer: str = TOKENIZER, trust: float = TRUST):
+    def __init__(self, docs: DataFrame, ident: str, text: str, source: str, targets: list[tuple[str, float, int]], total: float | str | None = None, tokenizer: str = TOKENIZER, trust: float = TRUST):
         spark = docs.sparkSession
         self.ident, self.source = ident, source
         merged: dict[str, tuple[float, int]] = {}
@@ -141,7 +161,7 @@ class Mix:
         k = len(names)
         share = np.array([merged[s][0] for s in names])
         self.share = share = share / share.sum() if share.sum() > 0 else share
-        self.most = most = np.array([merged[s][1] for s in names], dtype=float)
+        self.most = np.array([merged[s][1] for s in names], dtype=float)
         at = {s: i for i, s in enumerate(names)}
         kind = docs.schema[ident].dataType.simpleString()
         self.kind = f"ident {kind}, s int, tokens bigint"
@@ -151,10 +171,12 @@ class Mix:
         bound = int((1 << 40) * min(1.0, 3 * SAMPLE / max(docs.count(), 1)))
         labelled = base.filter(F.col("source").isNotNull() & F.col("text").isNotNull() & (h < bound)).orderBy(h, "ident").limit(SAMPLE).select("text", "source").collect()
         weights = spark.sparkContext.broadcast(train([r.text for r in labelled], np.array([at[r.source] for r in labelled], dtype=int), max(k, 1)))
+        coder = shipped(spark, tokenizer)
 
         def member(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for f in slices(frames, "text", 2_000_000):
-                tokens = np.array([count_tokens(t, tokenizer) for t in f["text"]], dtype=np.int64)
+                e = coder()
+                tokens = np.array([count_tokens(t, e) for t in f["text"]], dtype=np.int64)
                 s = np.array([at.get(x, -1) for x in f["source"]], dtype=np.int32)
                 p = posterior(list(f["text"]), weights.value)
                 has = s >= 0
@@ -163,110 +185,130 @@ class Mix:
                 out = pd.DataFrame({"ident": f["ident"], "s": s, "tokens": tokens, "p": list(p.astype(np.float32))})
                 yield out[tokens > 0]
 
-        self.members = written(base.mapInPandas(member, self.kind + ", p array<float>"), "members")
-        have = np.zeros(k)
+        self.members = written(spread(base).mapInPandas(member, self.kind + ", p array<float>"), "members")
+        self.have = np.zeros(k)
         for r in self.members.filter("s >= 0").groupBy("s").agg(F.sum("tokens").alias("n")).collect():
-            have[r.s] = r.n
-        self.have = have
-        able = (have > 0) & (share > 0)
+            self.have[r.s] = r.n
+        self.able = (self.have > 0) & (share > 0)
+        # Levels at which every document of a source has its greatest rate.
+        self.full = self.most / trust
+        self.level, self.expected, self.converged, self.history = np.zeros(k), np.zeros(k), True, []
+        if total == "corpus":
+            total = float(self.have.sum())
         if total is None:
-            total = float((have * most / np.where(share > 0, share, 1))[able].min()) if able.any() else 0.0
+            room = self._sums(np.where(self.able, self.full, 0))[0]
+            real = self.have * self.most
+            total = float((np.minimum(room, real)[self.able] / share[self.able]).min()) * (1 - HEADROOM) if self.able.any() else 0.0
         self.goal = total * share
-        self.history = self._fit(able)
-        self.scale = self._scales(able)
-
-    def _fit(self, able: np.ndarray) -> np.ndarray:
-        k = len(self.names)
-        history = np.zeros((0, k))
-        if not able.any():
-            return history
-        have, goal = np.where(able, self.have, 1), np.where(able, self.goal, 0)
+        self._fit()
+        self._chosen: DataFrame | None = None
+
+    def _fit(self) -> None:
+        """Moves the levels until the expected totals are the wanted ones, or as near
+        as the bounds allow; ``converged`` tells which of both it was not."""
+        if not self.able.any() or self.goal.sum() <= 0:
+            return
+        able, goal = self.able, np.where(self.able, self.goal, 0)
+        level = np.where(able, np.minimum(goal / np.where(able, self.have, 1), self.full), 0)
+        step, best = 1.0, None
+        self.converged = False
         for _ in range(ROUNDS):
-            sums = _sums(self.members, self.most, history, k)
-            left = np.where(able, (sums - goal) / have, 0)
-            history = np.vstack([history, left])
-            if np.abs(left * have).max() <= TOLERANCE * max(goal.sum(), 1):
+            sums, matrix = self._sums(level)
+            off = np.where(able, sums - goal, 0)
+            self.history.append(float(np.abs(off).max() / goal.sum()))
+            now = float((off * off).sum())
+            if best is not None and now > best[0] * (1 + 1e-9):
+                # Too far: half the way from the best levels.
+                step /= 2
+                level = best[1] + step * best[4]
+                level = np.clip(level, 0, np.where(able, self.full, 0))
+                if step < 1 / 64:
+                    self.converged = True
+                    break
+                continue
+            gain = np.inf if best is None else 1 - now / max(best[0], 1e-30)
+            # At a bound and pushed against it: nothing to move.
+            held = ~able | ((level >= self.full) & (off < 0)) | ((level <= 0) & (off > 0))
+            move = np.zeros(len(level))
+            free = np.flatnonzero(~held)
+            if len(free):
+                m = matrix[np.ix_(free, free)]
+                move[free] = -np.linalg.solve(m + np.eye(len(free)) * 1e-6 * max(np.trace(m), 1e-9), off[free])
+            best, step = (now, level, sums, off, move), 1.0
+            if np.abs(off).max() <= TOLERANCE * goal.sum() or not len(free) or gain < 1e-6:
+                self.converged = True
                 break
-        return history
+            level = np.clip(level + move, 0, np.where(able, self.full, 0))
+        self.level, self.expected = best[1], best[2]
 
-    def _jumps(self) -> DataFrame:
-        """ident, s, tokens, u and the rate of every document."""
-        most, history = self.most, self.history
+    def _sums(self, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Expected tokens of every source at the given levels, and how they change
+        with them; k + k x k numbers a task."""
+        k, most = len(self.names), self.most
 
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros((k, k + 1))
             for f in frames:
                 if len(f):
-                    _, cap, r = _rates_of(f, most, history)
-                    yield pd.DataFrame({"ident": f["ident"], "s": f["s"], "tokens": f["tokens"], "rate": r, "cap": cap.astype(int)})
-
-        u = (F.pmod(F.xxhash64("ident", F.lit(17)), F.lit(1 << 20)) + 0.5) / (1 << 20)
-        return self.members.mapInPandas(run, self.kind + ", rate double, cap int").withColumn("u", u)
-
-    @staticmethod
-    def _bin(scale):
-        """Bins of equal width in log2 of the scale from 2^-8 to 2^24."""
-        return F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((F.log2(scale) + 8) * (BINS / 32)))).cast("int")
-
-    def _scales(self, able: np.ndarray) -> np.ndarray:
-        """Per source the scale whose whole copies come nearest to the goal."""
-        out = np.ones(len(self.names))
-        if not able.any():
-            return out
-        gain = self._jumps().filter("s >= 0 and rate > 0 and cap > 0").withColumn("m", F.explode(F.sequence(F.lit(1), F.col("cap"))))
-        bins = gain.groupBy("s", self._bin((F.col("m") - F.col("u")) / F.col("rate")).alias("b")).agg(F.sum("tokens").alias("n")).collect()
-        for s in range(len(self.names)):
-            mine = sorted((r.b, r.n) for r in bins if r.s == s)
-            best, reached = (self.goal[s], -1), 0
-            for b, n in mine:
-                reached += n
-                best = min(best, (abs(reached - self.goal[s]), b))
-            # Everything up to and with this bin.
-            out[s] = 2.0 ** ((best[1] + 1) * (32 / BINS) - 8) if best[1] >= 0 else 0.0
-        return out
+                    p, cap = _member(f, most)
+                    raw, t = p @ level, f["tokens"].to_numpy(float)
+                    total[:, 0] += (np.clip(raw, 0, cap) * t) @ p
+                    free = (raw < cap) * t
+                    total[:, 1:] += (p * free[:, None]).T @ p
+            yield pd.DataFrame({"i": np.arange(k * (k + 1), dtype=np.int32), "v": total.ravel()})
+
+        out = np.zeros(k * (k + 1))
+        for r in self.members.select("s", "tokens", "p").mapInPandas(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
+            out[r.i] = r.v
+        out = out.reshape(k, k + 1)
+        return out[:, 0], out[:, 1:]
 
     def selection(self) -> DataFrame:
+        """Written once, so the mix and its report are of the same copies."""
+        if self._chosen is None:
+            most, level, k = self.most, self.level, len(self.names)
+
+            def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                part = TaskContext.get().partitionId()
+                for n, f in enumerate(frames):
+                    if len(f):
+                        p, cap = _member(f, most)
+                        f = f.assign(copies=rounded(rates(p, cap, level), f["s"].to_numpy(), f["tokens"].to_numpy(), np.random.default_rng([part, n, 17])).astype(np.int32))
+                        yield f.loc[f["copies"] > 0, ["ident", "s", "tokens", "copies"]]
+
+            self._chosen = written(self.members.mapInPandas(run, self.kind + ", copies int") if k else self.members.select("ident", "s", "tokens", F.lit(0).alias("copies")).limit(0), "chosen")
         names = F.array(*[F.lit(s) for s in self.names]) if self.names else F.array(F.lit(None).cast("string"))
-        scale = F.array(*[F.lit(float(x)) for x in self.scale]) if self.names else F.array(F.lit(1.0))
-        j = self._jumps().withColumn("scale", F.when(F.col("s") >= 0, F.get(scale, F.col("s"))).otherwise(1.0))
-        # A copy m is taken if its gain lies in a bin up to the scale's.
-        edge = F.floor((F.log2("scale") + 8) * (BINS / 32) + 0.5).cast("int")
-        copies = F.size(F.filter(F.sequence(F.lit(1), F.col("cap")), lambda m: self._bin((m - F.col("u")) / F.col("rate")) < edge))
-        j = j.filter("rate > 0 and scale > 0 and cap > 0").withColumn("copies", copies).filter("copies > 0")
-        return j.select(F.col("ident").alias(self.ident), F.when(F.col("s") >= 0, F.get(names, F.col("s"))).alias(self.source), "tokens", "copies")
+        return self._chosen.select(F.col("ident").alias(self.ident), F.when(F.col("s") >= 0, F.get(names, F.col("s"))).alias(self.source), "tokens", "copies")
 
     def report(self) -> DataFrame:
-        """Per target source: what was wanted, what there is and what came out."""
+        """Per target source: what was wanted, what there is, what the fit expects by
+        its memberships and what came out."""
         spark = self.members.sparkSession
         used = self.selection().groupBy(self.source).agg(F.count(F.lit(1)).alias("documents"), F.sum("copies").alias("uses"), F.sum(F.col("tokens") * F.col("copies")).alias("mixed_tokens"))
         used = written(used, "used")
         total = F.lit(used.agg(F.sum("mixed_tokens")).first()[0] or 0)
-        rows = [(n, float(s), int(m), int(h), float(g)) for n, s, m, h, g in zip(self.names, self.share, self.most, self.have, self.goal, strict=True)]
-        wanted = F.broadcast(spark.createDataFrame(rows, f"`{self.source}` string, target_share double, max_repeats int, available_tokens bigint, goal_tokens double"))
+        whole = max(self.expected.sum(), 1e-9)
+        rows = [(n, float(s), int(m), int(h), float(e / whole)) for n, s, m, h, e in zip(self.names, self.share, self.most, self.have, self.expected, strict=True)]
+        wanted = F.broadcast(spark.createDataFrame(rows, f"`{self.source}` string, target_share double, max_repeats int, available_tokens bigint, expected_share double"))
         out = used.join(wanted, self.source, "right")
         zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
         actual = F.coalesce(F.try_divide("mixed_tokens", total), F.lit(0.0))
-        return out.select(self.source, "target_share", actual.alias("actual_share"), "max_repeats", "available_tokens", zero("documents"), zero("uses"), zero("mixed_tokens"), (F.abs(actual - F.col("target_share")) <= 0.005).alias("reached"))
+        return out.select(self.source, "target_share", actual.alias("actual_share"), "expected_share", "max_repeats", "available_tokens", zero("documents"), zero("uses"), zero("mixed_tokens"), (F.abs(actual - F.col("target_share")) <= 0.005).alias("reached"))
 
 
-def _rates_of(f: pd.DataFrame, most: np.ndarray, history: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    p = np.stack([np.asarray(x) for x in f["p"]]).astype(float)
-    s = f["s"].to_numpy()
-    cap = most[np.where(s >= 0, s, p.argmax(1))]
-    return p, cap, rates(p, cap, history)
+def _member(f: pd.DataFrame, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Memberships and greatest rates."""
+    p, s = np.stack([np.asarray(x) for x in f["p"]]).astype(float), f["s"].to_numpy()
+    return p, most[np.where(s >= 0, s, p.argmax(1))]
 
 
-def _sums(members: DataFrame, most: np.ndarray, history: np.ndarray, k: int) -> np.ndarray:
-    """Expected tokens of every source at the present rates; k numbers a task."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(k)
-        for f in frames:
-            if len(f):
-                p, _, r = _rates_of(f, most, history)
-                total += (r * f["tokens"].to_numpy()) @ p
-        yield pd.DataFrame({"i": np.arange(k, dtype=np.int32), "v": total})
-
-    out = np.zeros(k)
-    for r in members.select("s", "tokens", "p").mapInPandas(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
-        out[r.i] = r.v
-    return out
+def rounded(rate: np.ndarray, group: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Whole copies with the given expectations; every group's sum is kept to one."""
+    order = np.lexsort((size, group))
+    g = group[order]
+    out = np.zeros(len(rate))
+    cut = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+    for a, b in zip(cut, [*cut[1:], len(g)], strict=True):
+        run = np.floor(np.cumsum(rate[order[a:b]]) + rng.random() + 1e-9)
+        out[order[a:b]] = np.diff(np.r_[0, run])
+    return np.minimum(out, np.ceil(rate))

@@ -62,10 +62,10 @@ def p6_leaks(spark, sf_dir):
     return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), kind.alias("kind"), "run", "lcs")
 
 
-def _mix(spark, sf_dir):
+def _mix(spark, sf_dir, total=None):
     # A fixed table of a few rows.
     targets = [tuple(r) for r in table(spark, sf_dir, "mix_targets").select("source", "target_share", "max_repeats").collect()]
-    return Mix(table(spark, sf_dir, "documents"), "doc_id", "text", "source", targets)
+    return Mix(table(spark, sf_dir, "documents"), "doc_id", "text", "source", targets, total)
 
 
 def p7_mix(spark, sf_dir):
@@ -76,6 +76,11 @@ def p7_shares(spark, sf_dir):
     return _mix(spark, sf_dir).report()
 
 
+def p7_corpus_shares(spark, sf_dir):
+    """As p7_shares for a mix of the corpus's size, where scarce sources fall short."""
+    return _mix(spark, sf_dir, "corpus").report()
+
+
 def _subjects(spark, sf_dir):
     # A fixed table of a few rows.
     names = [r.subject for r in table(spark, sf_dir, "subject_areas").select("subject").orderBy("subject").collect()]
@@ -100,6 +105,7 @@ QUERIES = {
     "p6_leaks": p6_leaks,
     "p7_mix": p7_mix,
     "p7_shares": p7_shares,
+    "p7_corpus_shares": p7_corpus_shares,
     "p8_found": p8_found,
     "p8_composition": p8_composition,
 }
