@@ -10,8 +10,16 @@ The sample is the ``SAMPLE`` pairs of the lowest hash of their identifier, so it
 is the same on every run; real defects in it are removed by a first model.  All
 pairs of the log are scored, whole texts, in one map over Arrow batches.
 
+So that answers in any language are told, most of the text in other languages is
+made: the pair's own texts with their letters exchanged within vowels and
+consonants, with foreign marks, or written in another script (``disguised``).
+Refusals are known by their words alone, so they always keep their n-grams, while
+half of the other pairs go without, and a text of unknown words is no refusal.
+
 ``empty`` is exact: nothing but spaces and signs, or a word that stands for a
-missing value.  A pair gets the first kind that applies, in the order of KINDS.
+missing value.  Scores are calibrated to probabilities on the held-out made pairs;
+a kind needs one of a half as well as its threshold.  A pair gets the first kind
+that applies, in the order of KINDS.
 
 Defined cases: null columns count as ''; an answer is compared with both source
 texts in either column; a very long text is read whole; repeated log rows are
@@ -33,12 +41,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomline.operators.skew import many_to_one
+from loomline.session import ship
 
 KINDS = ("empty", "refusal", "copied", "wrong_language", "truncated")
 LABELS = KINDS[1:]
 SAMPLE, LEAST, DIM, EPOCHS, BATCH = 4000, 50, 1 << 15, 12, 512
 #: Where in the gap between the classes a threshold lies.
 GAP = 0.35
+#: Part of the sound answers that a known word stands in.
+KNOWN = 0.006
 
 # Words that stand for a missing value, letters and digits only.
 STAND_IN = frozenset("null none nil na nan empty undefined missing blank trống rỗng khôngcó chưacó chưadịch tbd todo trong rong khongco なし 空 無し なし 空白 未翻訳 없음 无 空白 notavailable notranslation novalue nodata notext".split())
@@ -99,6 +110,11 @@ _REFUSE = {
     "es": ("Lo siento, pero |Lo siento, |Disculpe, |", "no puedo |no me es posible |no tengo permitido ", "traducir |ayudar con |procesar ", "este texto|esta traducción|esta solicitud", ".|. Envíe otro texto."),
     "fr": ("Je suis désolé, mais |Désolé, |", "je ne peux pas |il m'est impossible de ", "traduire |traiter |répondre à ", "ce texte|cette demande|ce contenu", ".|. Veuillez fournir un autre texte."),
     "de": ("Es tut mir leid, aber |Leider |", "ich kann |kann ich ", "diesen Text nicht übersetzen|bei dieser Anfrage nicht helfen|diesen Inhalt nicht bearbeiten", ".|. Bitte senden Sie einen anderen Text."),
+    "en3": ("That is not something |This is not something |Translating this is not something |", "I can do for you|I am able to help with|I'm permitted to translate|I can assist you with", ".|!|. Please try a different text.| as an assistant."),
+    "ru": ("К сожалению, |Извините, но |Простите, |", "я не могу |я не имею права |мне нельзя ", "перевести |обработать |помочь с переводом ", "этот текст|этого содержимого|эту строку", ".|. Пожалуйста, пришлите другой текст."),
+    "th": ("ขออภัย |ขอโทษ ", "ฉันไม่สามารถ|เราไม่สามารถ|ผมไม่สามารถ", "แปล|ช่วยแปล|ดำเนินการกับ", "ข้อความนี้|เนื้อหานี้|คำขอนี้", "| กรุณาส่งข้อความอื่น"),
+    "pt": ("Desculpe, |Lamento, mas |", "não posso |não consigo ", "traduzir |ajudar com |processar ", "este texto|este conteúdo|este pedido", ".|. Envie outro texto."),
+    "it": ("Mi dispiace, |Spiacente, |", "non posso |non riesco a ", "tradurre |elaborare ", "questo testo|questa richiesta|questo contenuto", ".|. Invia un altro testo."),
     "id": ("Maaf, |Mohon maaf, |", "saya tidak dapat |saya tidak bisa ", "menerjemahkan |membantu |memproses ", "teks ini|permintaan ini|konten ini", ".|. Silakan kirim teks lain."),
 }
 _REFUSE = {k: [part.split("|") for part in v] for k, v in _REFUSE.items()}
@@ -153,7 +169,8 @@ class Features:
     """Pair features and hashed n-grams; knows the words of sound answers and the
     usual lengths of answers."""
 
-    DENSE = 34
+    #: Features, and the place of the share of known words.
+    DENSE, SHARE = 34, 4
 
     def __init__(self, sound: list[tuple[str, str, str]]):
         seen: Counter[str] = Counter()
@@ -166,7 +183,10 @@ class Features:
                 c = canon(s)
                 if len(c) >= 15:
                     (per_latin if _latin(c) * 2 > len(c) else per_other).append(a / len(c))
-        self.known = frozenset(w for w, n in seen.items() if n >= 3)
+        # The sample has some defects itself: the few answers of one other language
+        # must not make its words known.
+        least = max(3, int(KNOWN * len(sound)))
+        self.known = frozenset(w for w, n in seen.items() if n >= least)
         self.cache: dict[str, tuple[bool, bool, bool]] = {}
         self.per_latin = float(np.median(per_latin)) if per_latin else 1.0
         self.per_other = float(np.median(per_other)) if per_other else 2.3
@@ -247,7 +267,7 @@ def _variants(text: str, rng: np.random.Generator) -> str:
 
 
 def _truncated(text: str, rng: np.random.Generator) -> str:
-    keep = rng.uniform(0.12, 0.72)
+    keep = rng.uniform(0.12, 0.76)
     at = max(6, int(len(text) * keep))
     cut = text[:at]
     if rng.random() < 0.6 and " " in cut:
@@ -255,6 +275,42 @@ def _truncated(text: str, rng: np.random.Generator) -> str:
     return cut + ["", "", "", "", "...", "…", " [...]", " -", " và", ",", " ("][rng.integers(11)]
 
 
+#: First letters of blocks of other scripts, and how many letters are taken.
+_SCRIPTS = ((0xAC00, 2000), (0x430, 32), (0x3B1, 24), (0xE01, 46), (0x905, 50), (0x627, 28), (0x5D0, 27), (0x10D0, 33), (0x4E00, 3000), (0x3042, 80), (0x561, 38), (0x985, 40), (0x1780, 35), (0x1000, 33))
+_MARKS = "\u0300\u0301\u0308\u030a\u030c\u0327\u0328\u0304\u0306\u030b"
+
+
+def disguised(text: str, names: list[str], rng: np.random.Generator) -> str:
+    """A text in a language that does not exist, in Latin or another script; given
+    names stay for two texts in three."""
+    kept = names if rng.random() < 0.67 else []
+    parts = re.split("(" + "|".join(map(re.escape, kept)) + ")", unmarked(text)) if kept else [unmarked(text)]
+    table: dict[str, str] = {}
+    if rng.random() < 0.5:
+        for group in ("aeiouy", "bcdfghjklmnpqrstvwxz"):
+            for a, b in zip(group, rng.permutation(list(group)), strict=True):
+                if rng.random() < 0.12:
+                    b = unicodedata.normalize("NFC", b + _MARKS[rng.integers(len(_MARKS))])
+                if rng.random() < 0.1:
+                    b += "aeinrstlk"[rng.integers(9)]
+                table[a], table[a.upper()] = b, b.upper()
+        new = ["".join(table.get(ch, ch) for ch in t) for t in parts]
+    else:
+        low, many = _SCRIPTS[rng.integers(len(_SCRIPTS))]
+        blank = " " if many not in (46, 3000, 80, 35, 33) or low == 0x10D0 else ""
+        # A syllable or sign for a few letters where a script has many.
+        width = 3 if many >= 1000 else 1
+        new = []
+        for t in parts:
+            words = [w if not w.strip().isalpha() else "".join(chr(low + _number(w[i : i + width].lower()) % many) for i in range(0, len(w), width)) for w in re.findall(r"[A-Za-z]+|[^A-Za-z]+", t)]
+            new.append("".join(blank if w.isspace() else w for w in words))
+    return "".join(old if k % 2 else n for k, (old, n) in enumerate(zip(parts, new, strict=True)))
+
+
+def _number(text: str) -> int:
+    return xxhash.xxh32_intdigest(text.encode())
+
+
 def made_pairs(sound: list[tuple[str, str, str]], seed: int) -> list[tuple[str, str, str, str]]:
     """(english, japanese, answer, label) with label '' for sound answers."""
     rng = np.random.default_rng(seed)
@@ -272,6 +328,7 @@ def made_pairs(sound: list[tuple[str, str, str]], seed: int) -> list[tuple[str,
         own = [s for s in (en, jp) if canon(s)]
         out.append((en, jp, _variants(own[rng.integers(len(own))], rng), "copied"))
         names = re.findall(r"\b[A-Z][a-z]+ [A-Z][a-z]+\b", vi) or [""]
+        out.append((en, jp, _variants(disguised([en, vi][rng.integers(2)] or vi, [n for n in dict.fromkeys(names) if n], rng), rng), "wrong_language"))
         if rng.random() < 0.25:
             a, b, _ = sound[rng.integers(len(sound))]
             swapped = [s for s in (a, b) if canon(s)]
@@ -293,6 +350,7 @@ class Model:
         self.w = np.zeros((DIM, len(LABELS)))
         self.v = np.zeros((Features.DENSE, len(LABELS)))
         self.thresholds = np.full(len(LABELS), 0.0)
+        self.slope, self.shift = np.ones(len(LABELS)), np.zeros(len(LABELS))
 
     def _rows(self, pairs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         hashed, dense = [], []
@@ -332,8 +390,9 @@ class Model:
                 rows = order[k : k + BATCH]
                 idx = np.concatenate([flat[ends[r] - size[r] : ends[r]] for r in rows])
                 # Half of the pairs go without their n-grams, so the pair features
-                # alone must tell defects whose words were never seen.
-                seen = (rng.random(len(rows)) < 0.5)[:, None]
+                # alone must tell defects whose words were never seen; but a refusal
+                # is told by its words.
+                seen = ((rng.random(len(rows)) < 0.5) | (labels[rows] == "refusal"))[:, None]
                 sums = np.add.reduceat(self.w[idx], np.r_[0, np.cumsum(size[rows])[:-1]], axis=0)
                 s = seen * sums / np.sqrt(size[rows])[:, None] + dense[rows] @ self.v
                 g = (1 / (1 + np.exp(-np.clip(s, -30, 30))) - y[rows]) * care[rows] / len(rows)
@@ -357,6 +416,7 @@ class Model:
         for j, kind in enumerate(LABELS):
             use = (labels == "") | (labels == kind) | np.isin(labels, KINDS[KINDS.index(kind) + 1 :])
             x, t = s[use, j], labels[use] == kind
+            self.slope[j], self.shift[j] = _platt(s[use, j], labels[use] == kind)
             others = {k: x[labels[use] == k] for k in set(labels[use]) - {kind}}
             low = max((np.quantile(v, sound_share if k == "" else min(sound_share, 0.99)) for k, v in others.items() if len(v)), default=0.0)
             high = np.quantile(x[t], 0.01)
@@ -370,10 +430,23 @@ class Model:
             self.thresholds[j] = (x[order][i] + x[order][min(i + 1, len(x) - 1)]) / 2
 
     def kinds(self, pairs: list[tuple[str, str, str]]) -> list[str | None]:
-        over = self.scores(pairs) > self.thresholds
+        s = self.scores(pairs)
+        over = (s > self.thresholds) & (s * self.slope + self.shift > 0)
         return ["empty" if is_empty(p[2]) else (LABELS[int(np.argmax(o))] if o.any() else None) for p, o in zip(pairs, over, strict=True)]
 
 
+def _platt(score: np.ndarray, true: np.ndarray, rounds: int = 30) -> tuple[float, float]:
+    """Slope and shift that turn scores into log-odds, by Newton steps with a weak
+    pull, so that separated classes give finite ones."""
+    x, y, w = np.stack([score, np.ones(len(score))], axis=1), true.astype(float), np.array([1.0, 0.0])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        g = x.T @ (p - y) + 0.1 * (w - [1.0, 0.0])
+        h = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2)
+        w = w - np.clip(np.linalg.solve(h, g), -1, 1)
+    return max(float(w[0]), 1e-3), float(w[1])
+
+
 class Exact:
     """What remains without training data."""
 
@@ -383,6 +456,13 @@ class Exact:
 
 def train(sound: list[tuple[str, str, str]]) -> Model | Exact:
     sound = [p for p in sound if not is_empty(p[2]) and (canon(p[0]) or canon(p[1]))]
+    if len(sound) < LEAST:
+        return Exact()
+    # Answers that share few words with the others are left out first, or the model
+    # would learn the few answers of each other language as sound ones.
+    f = Features(sound)
+    share = np.array([f.of(*p)[1][Features.SHARE] for p in sound])
+    sound = [p for p, s in zip(sound, share, strict=True) if s >= 0.6 * np.median(share)]
     if len(sound) < LEAST:
         return Exact()
     model = None
@@ -407,12 +487,16 @@ def defects(log: DataFrame, lines: DataFrame, seq: str, answer: str, keys: list[
     ``sample`` bounds the training data.
     """
     spark = log.sparkSession
+    ship(spark)
     one = lines.select(*keys, F.col(first).alias("__a"), F.col(second).alias("__b")).dropDuplicates(keys)
-    pairs = many_to_one(log.select(F.col(seq).alias("__seq"), *keys, F.col(answer).alias("__v")), one, keys).select("__seq", "__a", "__b", "__v")
-    # The lowest hashes; the bound lets only about three times the sample be sorted.
+    told = log.select(F.col(seq).alias("__seq"), *keys, F.col(answer).alias("__v"))
+    # The lowest hashes; the bound lets only a few times the sample be looked up.
     h = F.pmod(F.xxhash64("__seq"), F.lit(1 << 40))
-    bound = int((1 << 40) * min(1.0, 3 * sample / max(log.count(), 1)))
-    rows = pairs.filter((F.length("__v") > 8) & (h < bound)).orderBy(h, "__seq").limit(sample).select("__a", "__b", "__v").collect()
+    bound = int((1 << 40) * min(1.0, 4 * sample / max(log.count(), 1)))
+    few = told.filter((F.length("__v") > 8) & (h < bound)).orderBy(h, "__seq").limit(3 * sample)
+    rows = lines.select(*keys, F.col(first).alias("__a"), F.col(second).alias("__b")).join(F.broadcast(few), keys).dropDuplicates(["__seq"])
+    rows = rows.orderBy(h, "__seq").limit(sample).select("__a", "__b", "__v").collect()
+    pairs = many_to_one(told, one, keys).select("__seq", "__a", "__b", "__v")
     model = spark.sparkContext.broadcast(train([(plain(a), plain(b), plain(v)) for a, b, v in rows]))
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -34,6 +34,40 @@ def test_held_out_accuracy(sound):
         assert right / said > 0.9, label
 
 
+# None of these languages and wordings is in the training data.
+UNSEEN = """
+fi|He saapuivat kaupunkiin liian myöhään eikä kukaan odottanut heitä.|Ikkuna pitää sulkea ennen kuin sade alkaa.|Tie on pitkä mutta meillä on ruokaa kaikille.
+sv|De kom för sent till staden och ingen väntade på dem.|Man måste stänga fönstret innan det börjar regna.|Vägen är lång men vi har mat till alla.
+cs|Přišli do města příliš pozdě a nikdo na ně nečekal.|Musíš zavřít okno, než začne pršet.|Cesta je dlouhá, ale máme jídlo pro všechny.
+ro|Au ajuns prea târziu în oraș și nimeni nu îi aștepta.|Trebuie să închizi fereastra înainte să plouă.|Drumul este lung, dar avem mâncare pentru toți.
+sw|Walifika mjini wakiwa wamechelewa na hakuna aliyewasubiri.|Lazima ufunge dirisha kabla mvua haijaanza.|Njia ni ndefu lakini tuna chakula cha wote.
+hu|Túl későn értek a városba, és senki sem várt rájuk.|Be kell csukni az ablakot, mielőtt elered az eső.|Az út hosszú, de mindenkinek van étele.
+hi|वे शहर में बहुत देर से पहुँचे और कोई उनका इंतज़ार नहीं कर रहा था।|बारिश शुरू होने से पहले खिड़की बंद करनी होगी।
+ar|وصلوا إلى المدينة متأخرين ولم يكن أحد ينتظرهم.|يجب إغلاق النافذة قبل أن يبدأ المطر.
+el|Έφτασαν πολύ αργά στην πόλη και κανείς δεν τους περίμενε.|Πρέπει να κλείσεις το παράθυρο πριν βρέξει.
+"""
+REFUSALS = [
+    "I'm afraid I cannot help you translate that.", "Sorry, I can't do this translation.", "I am unable to translate the given passage because of my policy.", "As an AI, I must refuse to translate this text.",
+    "Unfortunately, translating this content is not permitted, so I have to decline.", "Rất xin lỗi, mình không thể hỗ trợ dịch đoạn này.", "Tôi buộc phải từ chối dịch văn bản này.", "Xin thứ lỗi, tôi không được phép dịch câu này.",
+    "Là trợ lý AI, tôi không thể dịch nội dung như vậy.", "Yêu cầu này vi phạm chính sách nên tôi từ chối dịch.",
+]
+
+
+def test_unseen_languages_and_refusals(sound):
+    model = train(sound[:1800])
+    told = [p for p, k in zip(sound[1800:2000], model.kinds(sound[1800:2000]), strict=True) if k is None]
+    missed = {}
+    for line in UNSEEN.strip().splitlines():
+        name, *texts = line.split("|")
+        kinds = model.kinds([(en, jp, t) for t in texts for en, jp, _ in told])
+        missed[name] = kinds.count("wrong_language") / len(kinds)
+    print(missed)
+    assert min(missed.values()) >= 0.9
+    kinds = [model.kinds([(en, jp, t) for en, jp, _ in told]).count("refusal") / len(told) for t in REFUSALS]
+    print(kinds)
+    assert sum(kinds) / len(kinds) >= 0.9
+
+
 def test_empty_answers():
     for v in ("", " ", "…", "“”", "N/A", "null", "(trống)", "[empty]", "​", None):
         assert is_empty(v or "")
