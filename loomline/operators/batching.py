@@ -50,12 +50,21 @@ def greedy_batches(queue: DataFrame, order: str, weight: str, max_items: int = 1
     head = placed.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= max_items).orderBy("o").select("c", "w").collect()
     sizes = {r.c: r["count"] for r in placed.groupBy("c").count().collect()}
     order_of = sorted(sizes)  # range partitions, so their numbers are in order
-    halo = {c: [r.w for r in head if r.c > c][:max_items] for c in order_of} if len(order_of) > 1 else {c: [] for c in order_of}
+    # What follows each chunk: one pass from the back, so linear in the chunks.
+    heads: dict[int, list[int]] = {}
+    for r in head:
+        heads.setdefault(r.c, []).append(r.w)
+    after, nxt = [], []
+    for c in reversed(order_of):
+        after.append((c, nxt))
+        nxt = (heads[c] + nxt)[:max_items]
+    halo = spark.createDataFrame(after, "c int, halo array<bigint>")
+    placed = placed.join(F.broadcast(halo), "c") if len(after) <= 100_000 else placed.join(halo, "c")
 
     def ends(f: pd.DataFrame) -> pd.DataFrame:
         c = int(f["c"].iloc[0])
         w = f.sort_values("o")["w"].to_numpy(np.int64)
-        step = _next(np.r_[w, np.array(halo[c], dtype=np.int64)], max_items, max_weight)
+        step = _next(np.r_[w, np.asarray(f["halo"].iloc[0], dtype=np.int64)], max_items, max_weight)
         exits, counts = [], []
         for e in range(max_items):
             at, k = e, 0
@@ -66,9 +75,9 @@ def greedy_batches(queue: DataFrame, order: str, weight: str, max_items: int = 1
         return pd.DataFrame({"c": [c], "exits": [exits], "counts": [counts]})
 
     table = {r.c: r for r in placed.groupBy("c").applyInPandas(ends, "c int, exits array<int>, counts array<int>").collect()}
-    entry, number, starts = 0, 0, {}
+    entry, number, starts = 0, 0, []
     for c in order_of:
-        starts[c] = (entry, number)
+        starts.append((c, entry, number))
         number += table[c].counts[entry]
         entry = table[c].exits[entry]
 
@@ -76,14 +85,16 @@ def greedy_batches(queue: DataFrame, order: str, weight: str, max_items: int = 1
         c = int(f["c"].iloc[0])
         f = f.sort_values("o")
         w = f["w"].to_numpy(np.int64)
-        step = _next(np.r_[w, np.array(halo[c], dtype=np.int64)], max_items, max_weight)
-        at, number = starts[c]
+        step = _next(np.r_[w, np.asarray(f["halo"].iloc[0], dtype=np.int64)], max_items, max_weight)
+        at, number = int(f["at"].iloc[0]), int(f["number"].iloc[0])
         start = np.zeros(len(w), dtype=np.int64)
         while at < len(w):
             start[at] = 1
             at = int(step[at])
         return pd.DataFrame({"o": f["o"], "batch_id": number - 1 + np.cumsum(start)})
 
+    begin = spark.createDataFrame(starts, "c int, at int, number bigint")
+    placed = placed.join(F.broadcast(begin), "c") if len(starts) <= 100_000 else placed.join(begin, "c")
     got = placed.groupBy("c").applyInPandas(mark, f"o {placed.schema['o'].dataType.simpleString()}, batch_id bigint")
     return queue.join(got.withColumnRenamed("o", order), order)
 

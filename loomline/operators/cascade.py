@@ -14,6 +14,8 @@ from loomline.operators.running import running_sums
 #: single ones.
 REPAIRS, SINGLES = 2, 2
 LAST = 1 + REPAIRS + 1 + SINGLES
+# Error codes of unstructured responses, and of texts that a repair
+# request must not show.
 STRUCTURED = "^(?:INVALID_JSON:|JSON_ROOT_NOT_OBJECT$|MISSING_STRUCTURED_KEY$)"
 
 
@@ -58,12 +60,17 @@ def outcomes(attempts: DataFrame) -> DataFrame:
     )
 
 
-def repair_projection(rows: DataFrame) -> DataFrame:
+CONTAMINATED = "^(?:UNEXPECTED_CJK|UNCHANGED_ENGLISH|POSSIBLE_ENGLISH_LEAK|PROTECTED_TERM_MISSING:|UNRESTORED_MARKER|MODEL_META_LEAK|EMPTY|MISSING_STRUCTURED_KEY)"
+
+
+def repair_projection(rows: DataFrame, *more: str) -> DataFrame:
     """What a repair request shows of (key, japanese, candidate, errors): Japanese
-    not after a CJK error, no contaminated candidate, and the problems."""
+    not after a CJK error, no contaminated candidate, and the problems.  ``more``
+    columns are kept."""
     cjk = F.array_contains("errors", "UNEXPECTED_CJK")
-    bad = F.exists("errors", lambda e: e.rlike("^(?:UNEXPECTED_CJK|UNCHANGED_ENGLISH|POSSIBLE_ENGLISH_LEAK|PROTECTED_TERM_MISSING:|UNRESTORED_MARKER|MODEL_META_LEAK|EMPTY|MISSING_STRUCTURED_KEY)"))
+    bad = F.exists("errors", lambda e: e.rlike(CONTAMINATED))
     return rows.select(
+        *more,
         "key",
         F.when(~cjk, F.coalesce("japanese", F.lit(""))).alias("japanese"),
         F.when(bad, "").otherwise(F.coalesce("candidate", F.lit(""))).alias("previous"),

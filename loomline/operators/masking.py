@@ -9,9 +9,10 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.functions.tokens import term_pattern
+from loomline.functions.tokens import TOKEN_CLASSES, term_pattern
 
-_CLASSES = [regex.compile(p) for p in (r"\{[^{}\r\n]*\}", r"<[^<>\r\n]*>", r"(?<!\d)%(?:\d+\$)?[-+#0']*(?:\d+|\*)?(?:\.(?:\d+|\*))?[hlLzjt]*[diuoxXfFeEgGaAcspn%]", r'\\[nrt"\\]', "[\ue000-\uf8ff]")]
+# Code points are written in another way for Python.
+_CLASSES = [regex.compile(regex.sub(r"\\x\{([0-9A-F]+)\}", lambda m: chr(int(m[1], 16)), p)) for p in TOKEN_CLASSES.values()]
 
 
 def mask(text: str, keep: list[str], first: int) -> tuple[str, list[tuple[str, str]]]:

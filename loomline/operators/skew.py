@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomline.session import written
+
 #: A key is hot when it holds at least this share of all counted rows.
 HOT_SHARE = 1 / 500
 
@@ -35,10 +37,12 @@ def many_to_one(rows: DataFrame, dim: DataFrame, keys: list[str], share: float =
 
     The rows are counted by key first (map-side combine, keys only).  The at most
     ``1/share`` hot keys' dimension rows are broadcast, so their rows stay where
-    they are; the rest meets in a shuffle join.
+    they are; the rest meets in a shuffle join.  Without a hot key that is all.
     """
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total = rows.count()
-    hot = F.broadcast(counts.filter(F.col("__n") >= max(1000, int(total * share))).select(*keys))
-    few = F.broadcast(dim.join(hot, keys, "left_semi"))
-    return rows.join(few, keys, "inner").unionByName(rows.join(hot, keys, "left_anti").join(dim, keys, "inner"))
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= 1000)
+    counts = written(counts, "hot")
+    if counts.isEmpty():
+        return rows.join(dim, keys, "inner")
+    hot = counts.filter(F.col("__n") >= int(rows.count() * share)).select(*keys)
+    few = F.broadcast(dim.join(F.broadcast(hot), keys, "left_semi"))
+    return rows.join(few, keys, "inner").unionByName(rows.join(F.broadcast(hot), keys, "left_anti").join(dim, keys, "inner"))

@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from loomline.functions.structured import parse_error
+from loomline.functions.structured import parse_error, response_text
 from loomline.functions.text import collapsed, compose, line_feeds, source_hash
 from loomline.functions.tokens import keeps_source, loose_numbers, numbers, punctuation_only, sounds_only, technical_tokens, term_count
-from loomline.operators import batching, cascade, masking, report
+from loomline.operators import batching, cascade, masking, report, worker
 from loomline.operators.qa import Glossary, checked
 from loomline.operators.replay import Resume, latest_records, line_index, overlaid, revalidated
 from loomline.operators.skew import many_to_one
 from loomline.plans import sql as S
 from loomline.session import table, work_dir, written
 from loomline.sources import files, schemas
+from loomline.sources.provider import requests_of
 from loomline.streaming.latest import LatestTable, latest_stream
 
 QUERIES: dict = {}
@@ -75,43 +76,42 @@ def q05_loose_numbers(spark, sf):
     return _job(spark, sf).select("ord", _joined(loose_numbers(line_feeds(F.col("japanese")))).alias("numbers"))
 
 
-def _terms_sql(rows):
-    one = " UNION ALL ".join(f"SELECT '{t}' AS term, {S.term_count('english', t, k)} AS n FROM story_job" for t, k in rows)
-    return f"SELECT term, count(*) FILTER (n > 0) AS lines, coalesce(sum(n), 0)::BIGINT AS occurrences FROM ({one}) GROUP BY term"
-
-
-_TERMS = ["keeper", "scout", "baker", "pilot", "lantern", "bronze key", "sealed letter", "glass compass", "old map", "silver bell", "the clock tower"]
+def _glossary_terms(spark, sf):
+    """(term, kept) of the whole glossary; a kept term counts with its case only."""
+    g = _glossary(spark, sf)
+    return [(t, True) for t in g.keep] + [(t, False) for t in g.translate if t not in g.keep]
 
 
-@query(_terms_sql([(t, t in S.KEEP) for t in _TERMS]))
+@query(f"WITH {S.TERMS}, n AS (SELECT term, {S.count_of('english')} AS n FROM story_job, terms) SELECT term, count(*) FILTER (n > 0) AS lines, coalesce(sum(n), 0)::BIGINT AS occurrences FROM n GROUP BY term")
 def q06_term_counts(spark, sf):
-    g = _glossary(spark, sf)
-    terms = [t for t in [*g.keep, *g.translate] if t in _TERMS]
-    n = [term_count(F.coalesce("english", F.lit("")), t, t in g.keep).alias(f"n{i}") for i, t in enumerate(terms)]
-    sums = table(spark, sf, "story_job").select(*n).agg(*[x for i in range(len(terms)) for x in (F.count_if(F.col(f"n{i}") > 0).alias(f"l{i}"), F.coalesce(F.sum(f"n{i}"), F.lit(0)).cast("bigint").alias(f"s{i}"))])
-    rows = F.array(*[F.struct(F.lit(t).alias("term"), F.col(f"l{i}").alias("lines"), F.col(f"s{i}").alias("occurrences")) for i, t in enumerate(terms)])
-    return sums.select(F.inline(rows))
+    terms = _glossary_terms(spark, sf)
+    n = F.array(*[F.struct(F.lit(t).alias("term"), term_count(F.coalesce("english", F.lit("")), t, k).cast("bigint").alias("n")) for t, k in terms])
+    hits = table(spark, sf, "story_job").select(F.inline(F.filter(n, lambda x: x.n > 0)))
+    sums = hits.groupBy("term").agg(F.count(F.lit(1)).alias("lines"), F.sum("n").alias("occurrences"))
+    every = spark.createDataFrame([(t,) for t, _ in terms], "term string")
+    return every.join(sums, "term", "left").select("term", F.coalesce("lines", F.lit(0)).cast("bigint").alias("lines"), F.coalesce("occurrences", F.lit(0)).cast("bigint").alias("occurrences"))
 
 
-def _batched(spark, sf):
+def _batched(spark, sf, items=10, chars=5200):
     job = table(spark, sf, "story_job").withColumn("w", batching.line_weight(F.col("english"), F.col("japanese")))
-    return batching.greedy_batches(job, "ord", "w")
+    return batching.greedy_batches(job, "ord", "w", items, chars)
 
 
-@query("WITH RECURSIVE " + S.BATCHES + ", t AS (" + " UNION ALL ".join(f"SELECT batch_id, '{t}' AS term, {S.term_count('english', t, t in S.KEEP)} AS n FROM batches" for t in _TERMS) + ") SELECT DISTINCT batch_id::BIGINT AS batch_id, term FROM t WHERE n > 0")
+@query(f"WITH RECURSIVE {S.batches()}, {S.TERMS} SELECT DISTINCT batch_id::BIGINT AS batch_id, term FROM batches, terms WHERE {S.count_of('english')} > 0")
 def q07_batch_terms(spark, sf):
-    g, b = _glossary(spark, sf), _batched(spark, sf)
-    keep = batching.batch_terms(b, "english", [t for t in g.keep if t in _TERMS], True)
-    return keep.unionByName(batching.batch_terms(b, "english", [t for t in g.translate if t in _TERMS], False))
+    terms, b = _glossary_terms(spark, sf), _batched(spark, sf)
+    keep = batching.batch_terms(b, "english", [t for t, k in terms if k], True)
+    return keep.unionByName(batching.batch_terms(b, "english", [t for t, k in terms if not k], False))
 
 
 _PAIRS = 'pairs AS (SELECT t.seq AS seq, t.vietnamese AS candidate, l.id AS id, l.english AS english, l.japanese AS japanese FROM story_translations t JOIN lines l ON l.key = t.key AND l."sourceHash" = t."sourceHash")'
 
 
 def _checked_log(spark, sf):
-    log = table(spark, sf, "story_translations").select("seq", "key", "sourceHash", "vietnamese")
-    lines = line_index(table(spark, sf, "story_job")).select("key", "sourceHash", "id", "english", "japanese")
-    return checked(compose(many_to_one(log, lines, ["key", "sourceHash"]), "vietnamese", "english", "japanese"), _glossary(spark, sf))
+    # Texts are composed before the join, which then stands once in the plan.
+    log = compose(table(spark, sf, "story_translations").select("seq", "key", "sourceHash", "vietnamese"), "vietnamese")
+    lines = compose(line_index(table(spark, sf, "story_job").select("ord", "key", "sourceHash", "id", "english", "japanese")), "english", "japanese").drop("ord")
+    return checked(many_to_one(log, lines, ["key", "sourceHash"]), _glossary(spark, sf))
 
 
 @query(f"WITH {S.LINES}, {_PAIRS}, {S.qa_ctes('pairs')} SELECT seq, len(errors) = 0 AS ok, array_to_string(errors, '|') AS errors, array_to_string(warnings, '|') AS warnings FROM qa")
@@ -184,12 +184,12 @@ def q18_recovery_queue(spark, sf):
     return _resume(spark, sf).recovery()
 
 
-@query("WITH RECURSIVE " + S.BATCHES + " SELECT ord, batch_id::BIGINT AS batch_id FROM batches")
+@query("WITH RECURSIVE " + S.batches() + " SELECT ord, batch_id::BIGINT AS batch_id FROM batches")
 def q19_greedy_batches(spark, sf):
     return _batched(spark, sf).select("ord", "batch_id")
 
 
-@query("WITH RECURSIVE " + S.BATCHES + """, b AS (SELECT batch_id::BIGINT AS batch_id, count(*) AS lines, sum(length(coalesce(english, '')))::BIGINT AS chars FROM batches GROUP BY batch_id)
+@query("WITH RECURSIVE " + S.batches() + """, b AS (SELECT batch_id::BIGINT AS batch_id, count(*) AS lines, sum(length(coalesce(english, '')))::BIGINT AS chars FROM batches GROUP BY batch_id)
 SELECT batch_id, lines, chars, least(3072, greatest(384, ceil(chars * 0.72)::BIGINT + lines * 24 + 128))::BIGINT AS budget FROM b""")
 def q20_token_budget(spark, sf):
     return batching.token_budget(_batched(spark, sf), "english")
@@ -210,7 +210,7 @@ def q21_seeds(spark, sf):
     return n.select("request_id", "phase", batching.phase_seed(F.col("phase"), i, F.lit(1), F.lit(1)).cast("bigint").alias("seed"))
 
 
-@query("WITH RECURSIVE " + S.BATCHES + """, b AS (SELECT batch_id::BIGINT AS batch_id, count(*) AS items FROM batches GROUP BY batch_id),
+@query("WITH RECURSIVE " + S.batches() + """, b AS (SELECT batch_id::BIGINT AS batch_id, count(*) AS items FROM batches GROUP BY batch_id),
 r AS (SELECT batch_id, items, sum(items) OVER (ORDER BY batch_id)::BIGINT AS run_items FROM b) SELECT batch_id, items, run_items FROM r WHERE run_items - items < 100""")
 def q22_pilot_prefix(spark, sf):
     per = _batched(spark, sf).groupBy("batch_id").agg(F.count(F.lit(1)).alias("items"))
@@ -328,25 +328,31 @@ def q35_parse_errors(spark, sf):
     return table(spark, sf, "story_failures").select("request_id", parse_error(F.col("responsePreview")).alias("error"))
 
 
-@query(f"SELECT ord, {S.norm('english')} AS text FROM story_job")
+@query(S.masked())
 def q36_mask_restore(spark, sf):
-    """Every text is masked batch by batch and restored; the result is the text."""
+    """Every text is masked batch by batch and restored; beside the text, what stays
+    unmasked is compared, with each marker as one letter and all other signs doubled."""
     b = compose(_batched(spark, sf), "english").withColumn("english", line_feeds(F.col("english")))
     m = masking.masked(b, "batch_id", "ord", "english", list(_glossary(spark, sf).keep))
-    return m.select("ord", masking.restored(F.col("masked"), F.col("replacements")).alias("text"))
-
-
-_ALIAS = r"(?<![\p{L}\p{N}_])pi+lots?(?![\p{L}\p{N}_])"
+    bare = F.regexp_replace("masked", "LOOMKEEP[0-9]{6,}END", "\ua66e")
+    bare = F.concat(F.lit(" "), F.regexp_replace(bare, r"([^\p{L}\p{N}_])", "$1$1"), F.lit(" "))
+    return m.select("ord", masking.restored(F.col("masked"), F.col("replacements")).alias("text"), bare.alias("bare"))
 
 
-@query(rf"""WITH b AS (SELECT ord, coalesce(english, '') AS english, regexp_replace(coalesce(english, ''), 'pilot', 'PILOTS', 'g') AS c FROM story_job WHERE contains(english, 'pilot')),
-n AS (SELECT *, {S.term_count('english', 'pilot', True)} - {S.term_count('c', 'pilot', True)} AS n FROM b)
-SELECT ord, CASE WHEN n > 0 THEN regexp_replace(c, '(^|{S.OUTER})PILOTS($|{S.OUTER})', '\1pilot\2', 'g') ELSE c END AS repaired FROM n WHERE NOT regexp_matches(english, '(?i)pilots') AND NOT regexp_matches(english, 'pilot[\p{{L}}\p{{N}}_]|[\p{{L}}\p{{N}}_]pilot|PILOT|Pilot') AND NOT regexp_matches(english, 'pilot{S.OUTER}pilot')""")
+@query()
 def q37_alias_repair(spark, sf):
-    rows = table(spark, sf, "story_job").filter(F.contains("english", F.lit("pilot")))
-    odd = F.col("english").rlike(r"(?i)pilots") | F.col("english").rlike(r"pilot[\p{L}\p{N}_]|[\p{L}\p{N}_]pilot|PILOT|Pilot") | F.col("english").rlike(r"pilot[^\p{L}\p{N}_]pilot")
-    rows = rows.filter(~odd).select("ord", "english", F.replace("english", F.lit("pilot"), F.lit("PILOTS")).alias("c"))
-    return masking.repaired_aliases(rows, "english", "c", "pilot", [_ALIAS]).select("ord", "repaired")
+    """Every line with every kept term misspelt in upper case, repaired; tested by brute
+    force, as SQL cannot replace a number of occurrences that differs by row."""
+    rows = compose(table(spark, sf, "story_job").select("ord", "english"), "english").withColumn("repaired", F.coalesce("english", F.lit("")))
+    keep = _glossary(spark, sf).keep
+    for t in keep:
+        rows = rows.withColumn("repaired", F.replace("repaired", F.lit(t), F.lit(t.upper() + "S")))
+    rows = rows.withColumn("repairs", F.expr("cast(array() as array<string>)"))
+    for t in keep:
+        pattern = rf"(?<![\p{{L}}\p{{N}}_]){t}s?(?![\p{{L}}\p{{N}}_])"
+        done = masking.repaired_aliases(rows.withColumnsRenamed({"repaired": "c", "repairs": "before"}), "english", "c", t, [pattern])
+        rows = done.select("ord", "english", "repaired", F.concat("before", "repairs").alias("repairs"))
+    return rows.select("ord", "repaired", _joined("repairs").alias("repairs"))
 
 
 @query(f"""WITH {S.LINES}, {_PAIRS}, {S.qa_ctes('pairs')}
@@ -392,26 +398,86 @@ def q42_streamed_latest(spark, sf):
     return held.read().select("key", "seq", "status")
 
 
-def _glossary_terms(spark, sf):
-    """(term, kept) of the whole glossary; a kept term counts with its case only."""
-    g = _glossary(spark, sf)
-    return [(t, True) for t in g.keep] + [(t, False) for t in g.translate if t not in g.keep]
+def _provider(request):
+    """A stand-in that fails as often as the last digit of a line's key says, by turns
+    with an empty text, one in kanji and no text at all."""
+    import json
 
+    out = {}
+    for row in request["rows"]:
+        if request["attempt"] > int(row["key"][-1]) % 8:
+            out[row["key"]] = (row.get("english") or "") + " ạ"
+        elif request["attempt"] % 3:
+            out[row["key"]] = ["", "", "日本"][request["attempt"] % 3]
+    return json.dumps(out)
 
-@query()
-def q43_glossary_counts(spark, sf):
-    """q06 for every term of the glossary."""
-    terms = _glossary_terms(spark, sf)
-    n = F.array(*[F.struct(F.lit(t).alias("term"), term_count(F.coalesce("english", F.lit("")), t, k).cast("bigint").alias("n")) for t, k in terms])
-    hits = table(spark, sf, "story_job").select(F.inline(F.filter(n, lambda x: x.n > 0)))
-    sums = hits.groupBy("term").agg(F.count(F.lit(1)).alias("lines"), F.sum("n").alias("occurrences"))
-    every = spark.createDataFrame([(t,) for t, _ in terms], "term string")
-    return every.join(sums, "term", "left").select("term", F.coalesce("lines", F.lit(0)).cast("bigint").alias("lines"), F.coalesce("occurrences", F.lit(0)).cast("bigint").alias("occurrences"))
 
+def _cascade(spark, sf):
+    lines = line_index(table(spark, sf, "story_job")).filter(F.col("key").rlike("[0-9]$"))
+    return worker.run(lines, _provider, _glossary(spark, sf))
 
-@query()
-def q44_glossary_batch_terms(spark, sf):
-    """q07 for every term of the glossary."""
-    terms, b = _glossary_terms(spark, sf), _batched(spark, sf)
-    keep = batching.batch_terms(b, "english", [t for t, k in terms if k], True)
-    return keep.unionByName(batching.batch_terms(b, "english", [t for t, k in terms if not k], False))
+
+@query(rf"""WITH {S.LINES}, l AS (SELECT * FROM lines WHERE regexp_matches(key, '[0-9]$')),
+good AS (SELECT key, id, english, japanese, coalesce(english, '') || ' ạ' AS candidate FROM l), {S.qa_ctes('good')},
+p AS (SELECT key, candidate, errors, warnings, right(key, 1)::INT % 8 AS f,
+  {S.strip("coalesce(english, '')")} <> '' AND NOT regexp_matches(coalesce(english, ''), '[\p{{L}}\p{{N}}]') AS bare FROM qa),
+n AS (SELECT *, CASE WHEN len(errors) = 0 AND f < 6 THEN f + 1 END AS n FROM p)
+SELECT key, CASE WHEN n IS NULL THEN 'TECHNICAL_ERROR' WHEN len(warnings) > 0 OR n IN (2, 3, 5, 6) THEN 'REVIEW' ELSE 'LOCAL_OK' END AS status,
+  CASE WHEN n = 1 THEN 'PRIMARY' WHEN n <= 3 THEN 'PRIMARY_REPAIR' WHEN n = 4 THEN 'RECOVERY_SMALL_BATCH' WHEN n <= 6 THEN 'RECOVERY_SINGLE' END AS phase,
+  (CASE WHEN n IS NULL THEN 3 WHEN n IN (2, 3) THEN n ELSE 1 END)::INT AS attempts FROM n WHERE NOT bare""")
+def q43_cascade(spark, sf):
+    """All phases run against a stand-in provider.  Lines of mere punctuation, which an
+    empty answer copies, are compared in a test."""
+    bare = line_index(table(spark, sf, "story_job")).filter(~F.coalesce(F.col("english"), F.lit("")).rlike(r"[\p{L}\p{N}]") & (F.trim(F.coalesce("english", F.lit(""))) != ""))
+    return _cascade(spark, sf).records.join(bare.select("key"), "key", "left_anti").select("key", "status", "phase", F.col("attempts").cast("int").alias("attempts"))
+
+
+@query("WITH RECURSIVE " + S.batches(3, 2200) + " SELECT ord, batch_id::BIGINT AS batch_id FROM batches")
+def q44_recovery_batches(spark, sf):
+    """Recovery packs the queue into batches of 3 lines and 2200 characters."""
+    return _batched(spark, sf, 3, 2200).select("ord", "batch_id")
+
+
+@query("""WITH o AS (SELECT request_id, coalesce(any_value(usage['completion_tokens']), 0) AS t, greatest(0.001, coalesce(any_value("elapsedSeconds"), 0)) AS s FROM story_requests GROUP BY request_id)
+SELECT request_id, round(CASE WHEN t > 0 THEN t / s ELSE 0 END, 3) AS speed FROM o""")
+def q45_request_speed(spark, sf):
+    once = table(spark, sf, "story_requests").dropDuplicates(["request_id"])
+    return once.select("request_id", F.round(worker.speed(F.try_element_at("usage", F.lit("completion_tokens")), F.col("elapsedSeconds")), 3).alias("speed"))
+
+
+_LINE = ["key", "file", "row", "id", "subid", "type", "english", "japanese", "currentVietnamese", "inheritedR3", "sourceHash"]
+
+
+@query('SELECT (ord // 5000)::VARCHAR AS job, row_number() OVER (PARTITION BY ord // 5000 ORDER BY ord) AS ord, key, sha256(coalesce(english, \'\')) AS english, "inheritedR3" FROM story_job')
+def q46_job_scan(spark, sf):
+    """Job files of at most 5000 lines, written as JSON documents and read back."""
+    path = work_dir(spark, "jobs")
+    line = F.struct("ord", F.to_json(F.struct(*_LINE)).alias("j"))
+    jobs = table(spark, sf, "story_job").groupBy(F.floor(F.col("ord") / 5000).cast("string").alias("job")).agg(F.array_sort(F.collect_list(line)).alias("a"))
+    text = F.concat(F.lit('{"jobId":"'), F.col("job"), F.lit('","items":[\n'), F.array_join(F.transform("a", lambda x: x.j), ",\n"), F.lit("]}"))
+    jobs.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return files.read_job(spark, path).select(F.col("jobId").alias("job"), "ord", "key", F.sha2(F.coalesce("english", F.lit("")), 256).alias("english"), "inheritedR3")
+
+
+@query(f"WITH {S.STATE} SELECT key, status, sha256(coalesce(vietnamese, '')) AS text FROM records")
+def q47_bundle(spark, sf):
+    """The result bundle, read back from its archive."""
+    r = _resume(spark, sf)
+    done = written(r.records(), "records")
+    archive = files.write_bundle(done, report.final_report(r.lines, done), work_dir(spark, "bundle"), "job", "hash")
+    return files.read_bundle(spark, archive).select("key", "status", F.sha2(F.coalesce("vietnamese", F.lit("")), 256).alias("text"))
+
+
+@query("SELECT request_id, CASE WHEN coalesce(\"responsePreview\", '') <> '' THEN regexp_replace(nfc_normalize(\"responsePreview\"), '\\r\\n?', chr(10), 'g') ELSE nfc_normalize(phase) END AS text FROM story_failures")
+def q48_response_text(spark, sf):
+    """The first of three fields of a response that is not empty."""
+    rows = compose(table(spark, sf, "story_failures").select("request_id", "phase", "responsePreview"), "phase", "responsePreview")
+    return rows.select("request_id", response_text(F.col("responsePreview"), F.lit(""), F.col("phase")).alias("text"))
+
+
+@query("WITH RECURSIVE " + S.batches() + """ SELECT batch_id::BIGINT AS batch_id, array_to_string(list(key ORDER BY ord), '|') AS keys, count(*)::INT AS rows, count(DISTINCT key)::INT AS required FROM batches GROUP BY batch_id""")
+def q49_prompt_rows(spark, sf):
+    """Requests of the primary batches: keys in order, rows and the schema's keys."""
+    req = requests_of(_batched(spark, sf))
+    must = F.from_json("schema", "required array<string>").required
+    return req.select("batch_id", _joined("keys").alias("keys"), F.size(F.from_json("rows", "array<struct<key string>>")).alias("rows"), F.size(must).alias("required"))

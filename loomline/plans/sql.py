@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 
-from loomline.functions.tokens import ANGLES, BRACES, ESCAPES, SOUNDS
-from loomline.operators.qa import ENGLISH_HINTS
-
+# Written down apart from the code, so a wrong pattern there shows here.
+# Token classes, sounds and English words of the data format.
+BRACES, ANGLES, ESCAPES = r"\{[^{}\r\n]*\}", r"<[^<>\r\n]*>", r'\\[nrt"\\]'
+SOUNDS = "a+h+|g+r+a+h+|g+r+o+a+r+|g+r+|r+a+h+|r+o+a+r+|u+g+h+|h+m+|m+|s+h+|h+m+p+h+"
+ENGLISH_HINTS = ["the", "and", "but", "with", "from", "this", "that", "have", "will", "would", "could", "should", "your", "their", "into", "before", "after"]
 WS = r"[\s\x{0B}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
 OUTER = r"[^\p{L}\p{N}_]"
 PRINTF = r"%(?:\d+\$)?[-+#0'']*(?:\d+|\*)?(?:\.(?:\d+|\*))?[hlLzjt]*[diuoxXfFeEgGaAcspn%]"
@@ -58,6 +60,28 @@ def term_count(x: str, term: str, case_sensitive: bool) -> str:
     return f"len(regexp_extract_all({doubled(x)}, '{flag}{OUTER}{t}{OUTER}'))"
 
 
+#: The glossary from its table; a kept term counts with its case only.
+TERMS = "terms AS (SELECT term, bool_or(target IS NULL) AS keep FROM glossary_terms GROUP BY term)"
+
+
+def count_of(x: str) -> str:
+    """Whole-word occurrences of ``term`` from TERMS."""
+    return rf"len(regexp_extract_all({doubled(x).replace(x, f"coalesce({x}, '')", 1)}, CASE WHEN keep THEN '' ELSE '(?i)' END || '{OUTER}' || regexp_replace(term, '([^\p{{L}}\p{{N}}_])', '[\1][\1]', 'g') || '{OUTER}'))"
+
+
+def masked() -> str:
+    """Every text, and the text with each token and kept term as the letter U+A66E,
+    all signs but letters and digits doubled.  A percent sign after a digit begins no
+    token, so U+A66D stands for it meanwhile."""
+    t = norm("english")
+    tokens = f"{BRACES}|{ANGLES}|{ESCAPES}|[\\x{{E000}}-\\x{{F8FF}}]|{PRINTF}"
+    bare = rf"replace(regexp_replace(regexp_replace({t}, '([0-9])%', '\1' || chr(42605), 'g'), '{tokens}', chr(42606), 'g'), chr(42605), '%')"
+    bare = doubled(bare)
+    for term in sorted(KEEP, key=lambda k: (-len(k), k)):
+        bare = f"regexp_replace({bare}, '({OUTER}){term}({OUTER})', '\\1' || chr(42606) || '\\2', 'g')"
+    return f"SELECT ord, {t} AS text, {bare} AS bare FROM story_job"
+
+
 def utf16(x: str) -> str:
     return rf"(length({x}) + len(regexp_extract_all({x}, '[\x{{10000}}-\x{{10FFFF}}]')))"
 
@@ -123,13 +147,16 @@ records AS (SELECT key, status, vietnamese FROM routes WHERE route = 'valid' AND
   UNION ALL SELECT key, 'LOCAL_OK', target FROM meta WHERE action <> 'kept'
   UNION ALL SELECT key, 'INHERITED_R3', vietnamese FROM inherited)"""
 
-BATCHES = """
+
+def batches(items: int = 10, chars: int = 5200) -> str:
+    return f"""
 w AS (SELECT ord, key, english, row_number() OVER (ORDER BY ord) AS i, length(coalesce(english, '')) + length(coalesce(japanese, '')) + 200 AS w FROM story_job),
 g(i, n, c, b) AS (SELECT i, 1, w, 0 FROM w WHERE i = 1
-  UNION ALL SELECT w.i, CASE WHEN g.n >= 10 OR g.c + w.w > 5200 THEN 1 ELSE g.n + 1 END, CASE WHEN g.n >= 10 OR g.c + w.w > 5200 THEN w.w ELSE g.c + w.w END,
-    CASE WHEN g.n >= 10 OR g.c + w.w > 5200 THEN g.b + 1 ELSE g.b END FROM g JOIN w ON w.i = g.i + 1),
+  UNION ALL SELECT w.i, CASE WHEN g.n >= {items} OR g.c + w.w > {chars} THEN 1 ELSE g.n + 1 END, CASE WHEN g.n >= {items} OR g.c + w.w > {chars} THEN w.w ELSE g.c + w.w END,
+    CASE WHEN g.n >= {items} OR g.c + w.w > {chars} THEN g.b + 1 ELSE g.b END FROM g JOIN w ON w.i = g.i + 1),
 batches AS (SELECT w.ord AS ord, w.key AS key, w.english AS english, g.b AS batch_id FROM w JOIN g ON g.i = w.i)"""
 
+
 RESULTS = r"""
 once AS (SELECT request_id, any_value(phase) AS phase, any_value("itemCount") AS items, any_value(accepted) AS ok FROM story_requests GROUP BY request_id),
 broken AS (SELECT request_id, max(coalesce(len(list_filter(map_values(reasons), lambda r: len(list_filter(r, lambda e: regexp_matches(e, '^(?:INVALID_JSON:|JSON_ROOT_NOT_OBJECT$|MISSING_STRUCTURED_KEY$)'))) > 0)), 0)) AS broken

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
-import os
-import shutil
+import zipfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomline.session import exists, hadoop_path, names, publish
 from loomline.sources import schemas
 
 _BAD = "__corrupt"
@@ -54,15 +56,52 @@ def ordered(records: DataFrame) -> DataFrame:
 
 
 def write_bundle(records: DataFrame, report: DataFrame, folder: str, job_id: str, job_hash: str) -> str:
-    """Result folder and archive: ordered translations, report and manifest.
-    The records are written by the executors, the archive by the driver; the
-    folder must be one that both see."""
-    shutil.rmtree(folder, ignore_errors=True)
-    ordered(records).write.mode("overwrite").json("file://" + os.path.abspath(folder) + "/translations")
-    write_report(report, "file://" + os.path.abspath(folder) + "/report")
-    with open(os.path.join(folder, "manifest.json"), "w", encoding="utf-8") as f:
-        json.dump({"jobId": job_id, "jobHash": job_hash, "report": report.first().asDict()}, f, indent=2, default=str)
-    return shutil.make_archive(folder, "zip", folder)
+    """Result folder and archive beside it: ordered translations, report and manifest.
+
+    ``folder`` must not exist yet and must be one that driver and executors share, of
+    any file system that Spark knows.  The records are written by the executors; the
+    archive is streamed part by part through the driver, never held there.
+    """
+    spark = records.sparkSession
+    if exists(spark, folder):
+        raise FileExistsError(folder)
+    ordered(records).write.json(f"{folder}/translations")
+    write_report(report, f"{folder}/report")
+    publish(spark, f"{folder}/manifest.json", json.dumps({"jobId": job_id, "jobHash": job_hash, "report": report.first().asDict()}, indent=2, default=str))
+    jvm = spark.sparkContext._jvm
+    target, fs = hadoop_path(spark, f"{folder}.zip")
+    out = jvm.java.util.zip.ZipOutputStream(fs.create(target, True))
+    try:
+        for sub in ("translations", "report", ""):
+            for name in names(spark, f"{folder}/{sub}".rstrip("/")):
+                path, _ = hadoop_path(spark, "/".join(x for x in (folder, sub, name) if x))
+                if name[0] in "._" or fs.getFileStatus(path).isDirectory():
+                    continue
+                out.putNextEntry(jvm.java.util.zip.ZipEntry("/".join(x for x in (sub, name) if x)))
+                part = fs.open(path)
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
+                part.close()
+                out.closeEntry()
+    finally:
+        out.close()
+    return f"{folder}.zip"
+
+
+def read_bundle(spark: SparkSession, archive: str) -> DataFrame:
+    """The translations of a bundle's archive.  An archive is one stream, so it is
+    read by one task, line by line."""
+
+    def lines(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for f in frames:
+            for raw in f.column("content"):
+                with zipfile.ZipFile(pa.BufferReader(raw.as_buffer())) as z:
+                    for name in sorted(n for n in z.namelist() if n.startswith("translations/")):
+                        with z.open(name) as part:
+                            while some := part.readlines(1 << 20):
+                                yield pa.RecordBatch.from_arrays([pa.array([x.decode().rstrip("\n") for x in some], pa.string())], names=["value"])
+
+    rows = spark.read.format("binaryFile").load(archive).select("content").mapInArrow(lines, "value string")
+    return rows.select(F.from_json("value", "key string, status string, vietnamese string").alias("r")).select("r.*")
 
 
 def forbidden_files(spark: SparkSession, root: str, patterns: list[str]) -> DataFrame:

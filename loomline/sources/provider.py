@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomline.functions.text import joined_url
+from loomline.session import ship
 
-ATTEMPT = "key string, candidate string, structured boolean, error string"
+ATTEMPT = "batch_id bigint, key string, candidate string, structured boolean, error string, response string"
 
 
 @dataclass(frozen=True)
@@ -33,8 +34,11 @@ class Config:
 
 def requests_of(batches: DataFrame) -> DataFrame:
     """One row per batch_id with its rows as JSON, its required keys and the JSON
-    schema that a response must fit."""
-    row = F.struct("ord", F.to_json(F.struct("key", "type", "english", "japanese")).alias("j"), "key")
+    schema that a response must fit.  Lines of a repair show what was wrong."""
+    shown = ["key", "type", "english", "japanese"]
+    if "problems" in batches.columns:
+        shown += [F.when(F.size("problems") > 0, F.col(c)).alias(c) for c in ("previous", "problems")]
+    row = F.struct("ord", F.to_json(F.struct(*shown)).alias("j"), "key")
     per = batches.groupBy("batch_id").agg(F.array_sort(F.collect_list(row)).alias("r"))  # a batch is a few rows
     keys = F.transform("r", lambda x: x.key)
     props = F.map_from_entries(F.transform(F.array_distinct(keys), lambda k: F.struct(k, F.struct(F.lit("string").alias("type")))))
@@ -43,26 +47,29 @@ def requests_of(batches: DataFrame) -> DataFrame:
 
 
 def attempts(requests: DataFrame, answer: Callable[[dict], str]) -> DataFrame:
-    """Calls ``answer({batch_id, rows, schema})`` for each request and unpacks the
-    response by key.  Missing keys and values that are no strings are unstructured."""
+    """Calls ``answer({batch_id, rows, schema})``, with phase and attempt where the
+    requests have them, for each request and unpacks the response by key, each once.  Missing keys and values that are no strings are unstructured."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = []
-            for b, keys, rows, schema in zip(f["batch_id"], f["keys"], f["rows"], f["schema"], strict=True):
-                text, error, got = answer({"batch_id": b, "rows": json.loads(rows), "schema": json.loads(schema)}), None, {}
+            for n, (b, keys, rows, schema) in enumerate(zip(f["batch_id"], f["keys"], f["rows"], f["schema"], strict=True)):
+                text, error, got = answer({"batch_id": b, "rows": json.loads(rows), "schema": json.loads(schema), **{c: f[c].iloc[n] for c in extra}}), None, {}
                 try:
                     got = json.loads(text)
                     if not isinstance(got, dict):
                         got, error = {}, "JSON_ROOT_NOT_OBJECT"
                 except ValueError as e:
                     error = f"INVALID_JSON:{e}"
-                for k in keys:
+                for n_key, k in enumerate(dict.fromkeys(keys)):
                     ok = isinstance(got.get(k), str)
-                    out.append((k, got[k].strip() if ok else None, ok, None if ok else error or "MISSING_STRUCTURED_KEY"))
-            yield pd.DataFrame(out, columns=["key", "candidate", "structured", "error"])
+                    # The response goes with its first key only.
+                    out.append((b, k, got[k].strip() if ok else None, ok, None if ok else error or "MISSING_STRUCTURED_KEY", None if n_key else text))
+            yield pd.DataFrame(out, columns=["batch_id", "key", "candidate", "structured", "error", "response"])
 
-    return requests.select("batch_id", "keys", "rows", "schema").mapInPandas(run, ATTEMPT)
+    extra = [c for c in ("phase", "attempt") if c in requests.columns]
+    ship(requests.sparkSession)
+    return requests.select("batch_id", "keys", "rows", "schema", *extra).mapInPandas(run, ATTEMPT)
 
 
 def http_answer(endpoint: str, model: str, timeout: float = 600.0) -> Callable[[dict], str]:

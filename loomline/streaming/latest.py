@@ -1,9 +1,9 @@
 """The newest record of each key, kept up to date from a stream of log files.
 
-State is a Parquet table in hash partitions of the key, with the number of the
-micro-batch that wrote each partition.  A micro-batch reduces its rows to one per
-key, reads only the partitions of those keys and replaces these; replaying a
-micro-batch after a failure gives the same rows.
+State is a Parquet table in hash partitions of the key.  A micro-batch reduces its
+rows to one per key, reads only the partitions of those keys and replaces these.
+Newest is a matter of the order column alone, so a micro-batch that is replayed after
+a failure gives the same rows and needs no number.
 """
 
 from __future__ import annotations
@@ -16,8 +16,10 @@ from loomline.session import exists, work_dir, written
 
 
 class LatestTable:
-    def __init__(self, spark: SparkSession, root: str, schema: str, key: str = "key", order: str = "seq", parts: int = 8):
-        self.spark, self.path, self.schema, self.key, self.order, self.parts = spark, f"{root}/latest", schema, key, order, parts
+    def __init__(self, spark: SparkSession, root: str, schema: str, key: str = "key", order: str = "seq", parts: int = 8, salts: int = 1):
+        """parts, salts: partitions, and the tasks that write one; their product times the
+        size of a file is about the size of the state."""
+        self.spark, self.path, self.schema, self.key, self.order, self.parts, self.salts = spark, f"{root}/latest", schema, key, order, parts, salts
 
     def read(self) -> DataFrame:
         if not exists(self.spark, self.path):
@@ -32,7 +34,7 @@ class LatestTable:
         both = rows.unionByName(self.read().filter(F.col(PART).isin(touched)))
         best = both.groupBy(self.key).agg(F.max(self.order).alias(self.order))
         new = written(both.join(best, [self.key, self.order], "left_semi").dropDuplicates([self.key]), "merged")
-        new.repartition(PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(self.path)
+        new.repartition(PART, F.pmod(F.xxhash64(self.key, F.lit(1)), F.lit(self.salts))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(self.path)
 
 
 def latest_stream(spark: SparkSession, folder: str, schema: str, lines: DataFrame, table: LatestTable, checkpoint: str | None = None, files_per_batch: int = 4):
