@@ -10,7 +10,7 @@ from loomline.llm.mixing import Mix
 from loomline.llm.packing import fill_report, pack
 from loomline.llm.pairs import defects
 from loomline.llm.subjects import composition, document_subjects
-from loomline.session import table
+from loomline.session import table, written
 
 
 def _job(spark, sf_dir):
@@ -48,6 +48,25 @@ def p5_fill(spark, sf_dir):
     return fill_report(_packed(spark, sf_dir), table(spark, sf_dir, "batch_profiles"))
 
 
+def p5_invariants(spark, sf_dir):
+    """What must hold of p5_pack in any good packing, so that SQL can say it: per
+    profile the lines and units, and rows that break a rule (none)."""
+    packed, profiles = written(_packed(spark, sf_dir), "packed"), table(spark, sf_dir, "batch_profiles")
+    held = packed.groupBy("profile", "batch").agg(F.sum("length").alias("used"), F.max("batch_size").alias("size"))
+    held = held.join(F.broadcast(profiles), "profile").groupBy("profile").agg(
+        F.count_if((F.col("used") > F.col("capacity")) | (F.col("size") < F.col("used")) | (F.col("size") > F.col("capacity"))).alias("overfull"),
+        (F.count(F.lit(1)) <= 1.02 * F.ceil(F.sum("used") / F.max("capacity")) + 1).alias("tight"),
+    )
+    # A line's pieces fill its length without gap; only lines over the capacity have several.
+    line = packed.groupBy("profile", "ord").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("units"), F.max(F.col("start") + F.col("length")).alias("end"), F.count_distinct("start").alias("starts"))
+    line = line.join(F.broadcast(profiles), "profile").groupBy("profile").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum("units").alias("units"),
+        F.count_if(((F.col("n") > 1) & (F.col("units") <= F.col("capacity"))) | (F.col("units") != F.col("end")) | (F.col("starts") != F.col("n"))).alias("cut_wrong"),
+    )
+    return held.join(line, "profile").select("profile", "lines", "units", "overfull", "cut_wrong", "tight")
+
+
 def _leaks(spark, sf_dir):
     return leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "text")
 
@@ -101,6 +120,7 @@ QUERIES = {
     "p2_found": p2_found,
     "p5_pack": p5_pack,
     "p5_fill": p5_fill,
+    "p5_invariants": p5_invariants,
     "p6_found": p6_found,
     "p6_leaks": p6_leaks,
     "p7_mix": p7_mix,
@@ -127,6 +147,8 @@ g AS (SELECT k.ord AS ord, CASE WHEN k.l THEN k.q ELSE coalesce(m.q, k.q) END AS
 """
 
 SQL = {
+    "p5_invariants": """SELECT profile, count(*) AS lines, sum(length(coalesce(english, '')) + length(coalesce(japanese, '')))::BIGINT AS units,
+  0::BIGINT AS overfull, 0::BIGINT AS cut_wrong, true AS tight FROM story_job, batch_profiles GROUP BY profile""",
     "p1_found": _P1 + "SELECT first_ord, ord FROM (SELECT min(ord) OVER (PARTITION BY g) AS first_ord, ord FROM g) WHERE first_ord < ord",
     "p1_distinct_pairs": _P1 + "SELECT min(ord) AS first_ord, count(*) AS copies FROM g GROUP BY g",
     "p6_found": r"""
