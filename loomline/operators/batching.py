@@ -36,6 +36,15 @@ def _next(weights: np.ndarray, max_items: int, max_weight: int) -> np.ndarray:
     return np.clip(n, at + 1, at + max_items)
 
 
+def _beside(placed: DataFrame, rows: list[tuple], kind: str) -> DataFrame:
+    """Adds what the driver knows of each chunk, a few numbers."""
+    if len(rows) == 1:
+        named = [p.strip().split(" ") for p in kind.split(",")[1:]]
+        return placed.withColumns({n: F.lit(v).cast(t) if not isinstance(v, list) else F.array(*map(F.lit, v)).cast(t) for (n, t), v in zip(named, rows[0][1:], strict=True)})
+    few = placed.sparkSession.createDataFrame(rows, kind)
+    return placed.join(F.broadcast(few) if len(rows) <= 100_000 else few, "c")
+
+
 def greedy_batches(queue: DataFrame, order: str, weight: str, max_items: int = 10, max_weight: int = 5200, chunk: int = CHUNK) -> DataFrame:
     """Adds batch_id, from 0 in queue order.
 
@@ -58,8 +67,7 @@ def greedy_batches(queue: DataFrame, order: str, weight: str, max_items: int = 1
     for c in reversed(order_of):
         after.append((c, nxt))
         nxt = (heads[c] + nxt)[:max_items]
-    halo = spark.createDataFrame(after, "c int, halo array<bigint>")
-    placed = placed.join(F.broadcast(halo), "c") if len(after) <= 100_000 else placed.join(halo, "c")
+    placed = _beside(placed, after, "c int, halo array<bigint>")
 
     def ends(f: pd.DataFrame) -> pd.DataFrame:
         c = int(f["c"].iloc[0])
@@ -93,8 +101,7 @@ def greedy_batches(queue: DataFrame, order: str, weight: str, max_items: int = 1
             at = int(step[at])
         return pd.DataFrame({"o": f["o"], "batch_id": number - 1 + np.cumsum(start)})
 
-    begin = spark.createDataFrame(starts, "c int, at int, number bigint")
-    placed = placed.join(F.broadcast(begin), "c") if len(starts) <= 100_000 else placed.join(begin, "c")
+    placed = _beside(placed, starts, "c int, at int, number bigint")
     got = placed.groupBy("c").applyInPandas(mark, f"o {placed.schema['o'].dataType.simpleString()}, batch_id bigint")
     return queue.join(got.withColumnRenamed("o", order), order)
 
