@@ -45,7 +45,7 @@ from loomline.session import ship
 
 KINDS = ("empty", "refusal", "copied", "wrong_language", "truncated")
 LABELS = KINDS[1:]
-SAMPLE, LEAST, DIM, EPOCHS, BATCH = 4000, 50, 1 << 15, 12, 512
+SAMPLE, LEAST, DIM, EPOCHS, BATCH = 3000, 50, 1 << 15, 12, 512
 #: Where in the gap between the classes a threshold lies.
 GAP = 0.35
 #: Part of the sound answers that a known word stands in.
@@ -466,8 +466,8 @@ def train(sound: list[tuple[str, str, str]]) -> Model | Exact:
     if len(sound) < LEAST:
         return Exact()
     model = None
-    # The first, smaller models only clean the sample of its real defects.
-    for size, share in ((len(sound) // 4, 0.94), (len(sound) // 4, 0.98), (len(sound), 0.999)):
+    # The first, smaller model only cleans the sample of its real defects.
+    for size, share in ((len(sound) // 4, 0.96), (len(sound), 0.999)):
         part = sound[: max(size, LEAST)]
         f = Features(part)
         cut = max(len(part) * 4 // 5, 1)
