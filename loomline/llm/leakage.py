@@ -6,8 +6,8 @@
 3. Distributed randomised SVD of the TF-IDF matrix of passages: each partition
    adds its part of A'(A X) for the test matrix X; two rounds give an orthonormal
    basis and the small Rayleigh-Ritz problem that the driver solves.  This index is
-   fitted on about ``FIT`` passages, those of the documents of the lowest hash.
-   What reaches the driver is terms x rank, whatever the size of the corpus.
+   fitted on all passages of the corpus and of the test items.  What reaches the
+   driver is terms x rank, whatever the size of the corpus.
 4. Cosine candidate search in that space between windows of ``SEED`` words: at
    every word of the items, at every ``STEP``-th of every document.  The items'
    windows form an inverted file: spherical k-means cells, of which a document's
@@ -47,7 +47,7 @@ from loomline.llm.words import arrow_slices, list_parts, new_ids, sum_blocks, to
 from loomline.session import written
 
 RUN, SEED, STEP, PASSAGE = 10, 8, 3, 32
-TERMS, RANK, SPARE, FIT = 1 << 14, 64, 8, 16_384
+TERMS, RANK, SPARE = 1 << 14, 64, 8
 #: Least cosine of two windows, and of a window and the centre of a cell to visit.
 COS, CELL_COS = 0.78, 0.58
 #: Words that two windows share at least; more than half, as LCS_PART asks.
@@ -56,7 +56,7 @@ SHARED = 5
 #: numbers and rare words that it keeps at all.
 LCS_PART, ANSWER_PART = 0.6, 0.5
 BLOCK = 400_000
-_CHUNK, _UNITS, _ROWS, _FILTER = 8192, 200_000, 8192, 1 << 20
+_CHUNK, _UNITS, _ROWS, _FILTER, _DENSE = 8192, 200_000, 8192, 1 << 20, 4096
 
 
 def _terms(ids: np.ndarray) -> np.ndarray:
@@ -75,8 +75,8 @@ def _passages(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return (pair & (TERMS - 1)).astype(np.int32), np.diff(np.r_[cut, len(flat)]).astype(np.float32), pair // TERMS
 
 
-def idf(tokens: DataFrame) -> tuple[np.ndarray, int]:
-    """Weights of the terms, and the number of passages."""
+def idf(tokens: DataFrame) -> np.ndarray:
+    """Weights of the terms."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         a = np.zeros((TERMS + 1, 1))
@@ -89,8 +89,8 @@ def idf(tokens: DataFrame) -> tuple[np.ndarray, int]:
 
     a = sum_blocks(tokens.select("ids"), make, TERMS + 1, 1)
     if not a.size:
-        return np.ones(TERMS, dtype=np.float32), 0
-    return (np.log((1 + a[TERMS, 0]) / (1 + a[:TERMS, 0])) + 1).astype(np.float32), int(a[TERMS, 0])
+        return np.ones(TERMS, dtype=np.float32)
+    return (np.log((1 + a[TERMS, 0]) / (1 + a[:TERMS, 0])) + 1).astype(np.float32)
 
 
 def _apply_gram(tokens: DataFrame, weight: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -100,7 +100,7 @@ def _apply_gram(tokens: DataFrame, weight: np.ndarray, x: np.ndarray) -> np.ndar
     def make(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         out = np.zeros((TERMS, k), dtype=np.float32)
         for whole in batches:
-            for b in arrow_slices(whole, "ids", _UNITS // 4):
+            for b in arrow_slices(whole, "ids", _UNITS):
                 t, n, row = _passages(b)
                 if not len(t):
                     continue
@@ -108,12 +108,16 @@ def _apply_gram(tokens: DataFrame, weight: np.ndarray, x: np.ndarray) -> np.ndar
                 starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
                 size = np.diff(np.r_[starts, len(row)])
                 v /= np.repeat(np.sqrt(np.add.reduceat(v * v, starts)), size)
-                y = np.add.reduceat(x[t] * v[:, None], starts, axis=0)
-                # Row sums by term: sorted segments instead of a scattered add.
-                by = np.argsort(t, kind="stable")
-                part = np.repeat(y, size, axis=0)[by] * v[by, None]
-                cut = np.flatnonzero(np.r_[True, t[by][1:] != t[by][:-1]])
-                out[t[by][cut]] += np.add.reduceat(part, cut, axis=0)
+                at, end = np.repeat(np.arange(len(size)), size), starts + size
+                # A few passages at a time are a small dense matrix over their own terms.
+                part = np.cumsum(np.maximum(size, 16)) // _DENSE
+                cuts = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(size)]
+                for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                    lo, hi = int(starts[i]), int(end[j - 1])
+                    own, column = np.unique(t[lo:hi], return_inverse=True)
+                    a = np.zeros((j - i, len(own)), dtype=np.float32)
+                    a[at[lo:hi] - i, column] = v[lo:hi]
+                    out[own] += a.T @ (a @ x[own])
         return out
 
     got = sum_blocks(tokens.select("ids"), make, TERMS, dtype="float32")
@@ -130,6 +134,19 @@ def latent_basis(tokens: DataFrame, weight: np.ndarray, rank: int = RANK, seed:
     return v * weight[:, None]
 
 
+def rare_weight(item_tokens: DataFrame, weight: np.ndarray, part: float = 0.8) -> float:
+    """The weight that this part of the words of all items lies below."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        return sum((np.bincount(_terms(list_parts(b.column("ids"))[0]), minlength=TERMS) for b in batches), np.zeros(TERMS))[:, None]
+
+    n = sum_blocks(item_tokens.select("ids"), make, TERMS, 1)
+    if not n.size:
+        return 0.0
+    order = np.argsort(weight, kind="stable")
+    return float(weight[order][np.searchsorted(np.cumsum(n[order, 0]), part * n.sum())])
+
+
 def _unit(ids: np.ndarray, starts: np.ndarray, basis: np.ndarray) -> np.ndarray:
     """Unit latent vectors of the windows at ascending places.  Words are always
     added in the same order, so equal windows have equal vectors."""
@@ -191,7 +208,7 @@ def _cells(v: np.ndarray, rounds: int = 6) -> tuple[np.ndarray, np.ndarray]:
 class ItemBlock:
     """A block of test items as an inverted file of their windows."""
 
-    def __init__(self, idents: list[int], texts: list[str | None], basis: np.ndarray, weight: np.ndarray):
+    def __init__(self, idents: list[int], texts: list[str | None], basis: np.ndarray, weight: np.ndarray, rare: float | None = None):
         ids = new_ids()
         self.idents = np.array(idents, dtype=np.int64)
         arrays = [word_ids(t, ids) for t in texts]
@@ -219,11 +236,13 @@ class ItemBlock:
             by = np.argsort(place[back], kind="stable")
             self.starts, self.many = starts[by], np.bincount(place[back], minlength=len(first))
             self.from_ = np.cumsum(self.many) - self.many
-        # Rare words carry the answer: numbers and the terms of the highest idf.
+        # Rare words carry the answer: numbers and the terms of the highest idf, of
+        # ``rare`` or more (without it, a fifth of this block's words).
         number = {ids[w] for t in texts for w in words(t) if w.isdigit()}
         w = weight[_terms(self.ids)] if len(self.ids) else np.zeros(0)
-        rare = w >= np.quantile(w, 0.8) if len(w) else w > 0
-        self.telling = rare | np.isin(self.ids, np.array(sorted(number), dtype=np.int64))
+        if rare is None:
+            rare = np.quantile(w, 0.8) if len(w) else 0.0
+        self.telling = (w >= rare) | np.isin(self.ids, np.array(sorted(number), dtype=np.int64))
 
     @staticmethod
     def _keys(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -341,10 +360,11 @@ def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: st
     tokens = written(tokenised(docs, doc_id, text, _CHUNK, 2 * PASSAGE), "tokens")
     held = items.select(item_id, item_text).filter(F.col(item_id).isNotNull()).orderBy(item_id)
     item_tokens = written(tokenised(items, item_id, item_text, _CHUNK), "items")
-    weight, n = idf(tokens.select("ids").unionByName(item_tokens.select("ids")))
+    passages = tokens.select("ids").unionByName(item_tokens.select("ids"))
+    weight = idf(passages)
     if basis is None:
-        few = F.pmod(F.xxhash64("ident"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, FIT / max(n, 1)))
-        basis = latent_basis(tokens.filter(few).select("ids").unionByName(item_tokens.select("ids")), weight)
+        basis = latent_basis(passages, weight)
+    rare = rare_weight(item_tokens, weight)
     blocks: list[tuple[list, list]] = [([], [])]
     size = 0
     found = None
@@ -357,8 +377,8 @@ def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: st
         blocks[-1][1].append(t)
         size += k
         if len(blocks) > 1:
-            found = _searched(tokens, ItemBlock(*blocks.pop(0), basis, weight), kind, paraphrases, found)
-    found = _searched(tokens, ItemBlock(*blocks[0], basis, weight), kind, paraphrases, found)
+            found = _searched(tokens, ItemBlock(*blocks.pop(0), basis, weight, rare), kind, paraphrases, found)
+    found = _searched(tokens, ItemBlock(*blocks[0], basis, weight, rare), kind, paraphrases, found)
     return found.groupBy("doc", "item").agg(F.max("run").alias("run"), F.max("lcs").alias("lcs"))
 
 

@@ -8,8 +8,9 @@ import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from loomline.llm.leakage import RANK, RUN, TERMS, ItemBlock, _join, exact_leaks, lcs_length, leaks
+from loomline.llm.leakage import PASSAGE, RANK, RUN, TERMS, ItemBlock, _apply_gram, _join, exact_leaks, lcs_length, leaks
 from loomline.llm.words import flat_ids, new_ids, tokenised, word_ids, words
 
 DOC, ITEM = "doc_id bigint, text string, ids string, item int", "item_id bigint, text string"
@@ -149,6 +150,47 @@ def test_the_latent_space_finds_rewordings_that_noise_does_not(spark):
     assert noise < fitted - 0.1
 
 
+def test_the_index_is_fitted_on_all_passages(spark, monkeypatch):
+    # Far more passages than a sample would hold, and a theme that only documents of
+    # the highest hashes have.
+    rng = np.random.default_rng(6)
+    words_of = [" ".join(f"w{k}" for k in row) for row in rng.integers(0, 300, (24_000, 8))]
+    high = spark.range(24_000).filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) > 0.98 * (1 << 30)).collect()
+    assert len(high) > 300
+    for r in high:
+        words_of[r.id] = "alone " * 8
+    used, init = [], ItemBlock.__init__
+
+    def seen(self, idents, texts, basis, weight, *rest):
+        used.append((basis, *rest))
+        init(self, idents, texts, basis, weight, *rest)
+
+    monkeypatch.setattr(ItemBlock, "__init__", seen)
+    monkeypatch.setattr("loomline.llm.leakage.BLOCK", 30)
+    items = [(0, "w0 " * 20), (1, "w1 " * 20), (2, "w2 w3 " * 10)]
+    found(spark, list(enumerate(words_of)), items)
+    term = word_ids("alone w1", new_ids()) & (TERMS - 1)
+    size = np.linalg.norm(used[0][0][term], axis=1)
+    assert size[0] > 0.5 * size[1] > 0
+    # Rare words are told by one threshold, whatever the block.
+    assert len(used) == 3
+    assert len({rare for _, rare in used}) == 1
+
+
+def test_the_gram_product_of_short_and_long_texts(spark):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 40, n)) for n in [1] * 3000 + [33, 200, 9000, 31, 32]]
+    tokens = tokenised(spark.createDataFrame(list(enumerate(texts)), "d bigint, t string"), "d", "t", 8192)
+    weight, x = rng.random(TERMS).astype(np.float32) + 1, rng.standard_normal((TERMS, 5)).astype(np.float32)
+    rows = []
+    for r in tokens.collect():
+        for k in range(0, len(r.ids), PASSAGE):
+            v = np.bincount(np.array(r.ids[k : k + PASSAGE]) & (TERMS - 1), minlength=TERMS) * weight
+            rows.append(v / np.linalg.norm(v))
+    a = np.array(rows, dtype=np.float32)
+    assert np.allclose(_apply_gram(tokens, weight, x), a.T @ (a @ x), rtol=1e-3, atol=1e-2)
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     rng = random.Random(2)
     text = lambda n: " ".join(f"w{rng.randrange(900)}" for _ in range(n))
