@@ -8,8 +8,11 @@
    of at most MOST_SHARE of the passages of the language that uses them most.  More
    frequent terms stay if most of their labelled passages have one subject, so a
    frequent subject keeps its core terms.
-3. TOPICS topics are started without any labels, from clusters of a bounded sample
-   of passages (SAMPLE, by lowest hash), and get START rounds on that sample.
+3. TOPICS topics are started without any labels, from clusters of all passages, and
+   get START rounds over all of them.  The clusters are spherical k-means on random
+   projections: places for centres are drawn from all passages in DRAWS rounds, by
+   their distance from those drawn before, and weighed by the passages around them
+   (k-means||); then rounds over all passages move the centres.
 4. Topics are inspected: a topic gets the subject of most of the labelled passages
    that hold ``HITS`` of its TOP terms, or none.  Topics of one subject, in whatever
    language, become one; the others are grouped to BACKGROUND topics.
@@ -39,15 +42,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm.words import arrow_slices, list_parts, sum_blocks
 from loomline.session import ship, spread, written
 
-#: Topics at the start and on the sample, groups of those without a subject, rounds on
-#: the sample and over all passages, inner steps, Dirichlet priors.
-TOPICS, BACKGROUND, SAMPLE, START, ROUNDS, INNER, ALPHA, ETA = 192, 48, 8192, 4, 2, 3, 0.1, 0.01
+#: Topics at the start, groups of those without a subject, rounds with the topics of the
+#: start and with the merged ones, inner steps, Dirichlet priors.
+TOPICS, BACKGROUND, START, ROUNDS, INNER, ALPHA, ETA = 192, 48, 4, 2, 3, 0.1, 0.01
+#: Rounds that draw places for centres, rounds of k-means, width of the projections.
+DRAWS, MOVES, WIDTH = 3, 10, 64
 #: Shares of passages between which terms are taken, and the part of its labelled
 #: passages that a more frequent one needs in one subject.
 LEAST_SHARE, MOST_SHARE, FAVOURED = 3e-4, 0.05, 0.8
@@ -61,7 +67,7 @@ _TOKENS = re.compile(r"[^\W\d_]+|[.!?。！？…]|[\r\n]+")
 _IDEO = re.compile(r"[㐀-䶿一-鿿々]+|[゠-ヿ]+")
 _KANA = re.compile(r"[぀-ゟ]")
 _STOP, _LINE, _WORD, _RUNS = 0, 1, 2, 3
-_UNITS, _CHUNK = 200_000, 4096
+_UNITS, _PART, _CHUNK, _JOINED = 200_000, 1 << 15, 4096, 16
 
 
 def _hash(term: str) -> int:
@@ -285,58 +291,143 @@ def distributions(counts: np.ndarray) -> np.ndarray:
     return phi / phi.sum(0)
 
 
-def _clusters(v: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 10) -> np.ndarray:
-    """Spherical k-means with spread-out starts; the cluster of each vector."""
+def _moved(total: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """Centres in the direction of the sums of their members; those without stay."""
+    norm = np.sqrt((total * total).sum(1, keepdims=True))
+    return np.where(norm > 0, total / np.maximum(norm, 1e-9), centre)
+
+
+def _clusters(v: np.ndarray, k: int, rng: np.random.Generator, rounds: int = MOVES, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Spherical k-means with spread-out starts; the cluster of each vector, and the
+    centres."""
     v = v / np.maximum(np.sqrt((v * v).sum(1, keepdims=True)), 1e-9)
+    weight = np.ones(len(v)) if weight is None else weight
     picked = [int(rng.integers(len(v)))]
     far = np.maximum(1 - v @ v[picked[0]], 0)
-    while len(picked) < k and (far > 1e-6).any():
-        picked.append(int(rng.choice(len(v), p=far**2 / (far**2).sum())))
+    while len(picked) < k and ((p := weight * far**2) > 1e-12).any():
+        picked.append(int(rng.choice(len(v), p=p / p.sum())))
         far = np.minimum(far, np.maximum(1 - v @ v[picked[-1]], 0))
     centre = v[picked].copy()
     for _ in range(rounds):
         own = (v @ centre.T).argmax(1)
         total = np.zeros_like(centre)
-        np.add.at(total, own, v)
-        norm = np.sqrt((total * total).sum(1, keepdims=True))
-        centre = np.where(norm > 0, total / np.maximum(norm, 1e-9), centre)
-    return (v @ centre.T).argmax(1)
+        np.add.at(total, own, (v * weight[:, None]).astype(v.dtype))
+        centre = _moved(total, centre)
+    return (v @ centre.T).argmax(1), centre
+
+
+def _total(tokens: DataFrame, make, width: int, k: int, terms: float = np.inf, units: int = _UNITS, dtype: str = "float32") -> np.ndarray:
+    """Sum over all passages of the width x k arrays that ``make`` gives for some of
+    them.  So that these arrays stay small beside what is read, a task reads up to
+    _JOINED partitions if there are many, and an eighth as many ``terms`` (of all
+    passages) as its array has numbers if there are few."""
+    few = tokens.select("term")
+    most = max(4 * tokens.sparkSession.sparkContext.defaultParallelism, few.rdd.getNumPartitions() // _JOINED)
+    few = few.coalesce(int(max(1, min(most, 8 * terms / (width * k)))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        return make(list_parts(b.column("term")) for whole in batches for b in arrow_slices(whole, "term", units))
+
+    return sum_blocks(few, run, width, max(8, width * k >> 18), dtype)
 
 
-def start(arrays: list[np.ndarray], n_terms: int, topics: int = TOPICS, rounds: int = START, seed: int = 1) -> np.ndarray:
-    """terms x topics: expected counts after some rounds on a sample of passages."""
+def projected(term: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """Unit vectors of passages."""
+    v = np.add.reduceat(sketch[term], np.cumsum(size) - size, axis=0)
+    return v / np.maximum(np.sqrt((v * v).sum(1, keepdims=True)), np.float32(1e-9))
+
+
+def _drawn(tokens: DataFrame, sketch: Broadcast, centre: np.ndarray, n: int, nth: int) -> np.ndarray:
+    """The vectors of ``n`` of all passages, drawn by their distance from the centres."""
+    u = (F.pmod(F.xxhash64("ident", "at", F.lit(nth)), F.lit(1 << 40)) + 0.5) / (1 << 40)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, vec = np.zeros(0), np.zeros((0, WIDTH), dtype=np.float32)
+        for whole in batches:
+            for b in arrow_slices(whole, "term", _PART):
+                v = projected(*list_parts(b.column("term")), sketch.value)
+                far = np.maximum(1 - (v @ centre.T).max(1), 0).astype(np.float64)
+                ok = far > 1e-6
+                # The least of these are a draw without return, weighed by far ** 2.
+                key = np.r_[key, -np.log(b.column("u").to_numpy()[ok]) / far[ok] ** 2]
+                vec = np.concatenate([vec, v[ok]])
+                least = np.argsort(key, kind="stable")[:n]
+                key, vec = key[least], vec[least]
+        if len(key):
+            yield pa.RecordBatch.from_arrays([pa.array(key), _lists(vec.ravel(), np.arange(len(key)) * WIDTH, pa.float32())], names=["key", "v"])
+
+    rows = tokens.select("term", u.alias("u")).mapInArrow(run, "key double, v array<float>").orderBy("key").limit(n).collect()
+    return np.array([r.v for r in rows], dtype=np.float32).reshape(-1, WIDTH)
+
+
+def start(tokens: DataFrame, n_terms: int, topics: int, seed: int = 1) -> np.ndarray:
+    """terms x topics: how often the terms stand in the clusters of all passages."""
     rng = np.random.default_rng(seed)
-    size = np.array([len(a) for a in arrays])
-    term = np.concatenate(arrays)
-    seen = np.bincount(np.concatenate([np.unique(a) for a in arrays]), minlength=n_terms)
-    rare = np.log((1 + len(size)) / (1 + seen)).astype(np.float32)
-    sketch = rng.standard_normal((n_terms, 64)).astype(np.float32) * rare[:, None]
-    first = np.cumsum(size) - size
-    own = _clusters(np.add.reduceat(sketch[term], first, axis=0), min(topics, len(size)), rng)
-    counts = np.zeros((n_terms, topics), dtype=np.float32)
-    np.add.at(counts, (term, np.repeat(own, size)), 1)
-    for _ in range(rounds):
-        phi, counts = distributions(counts), np.zeros_like(counts)
-        for part, p in responsibilities(term, size, phi):
-            _add(counts, term[part], p)
-    return counts
+
+    def passages(parts) -> np.ndarray:
+        out = np.zeros((n_terms + 1, 1))
+        for term, size in parts:
+            out[:n_terms, 0] += np.bincount(_distinct(term.astype(np.int64), size) & 0xFFFFFFFF, minlength=n_terms)
+            out[n_terms, 0] += len(size)
+        return out
+
+    seen = _total(tokens, passages, n_terms + 1, 1, dtype="float64")[:, 0]
+    rare = np.log((1 + seen[n_terms]) / (1 + seen[:n_terms])).astype(np.float32)
+    sketch = tokens.sparkSession.sparkContext.broadcast(rng.standard_normal((n_terms, WIDTH)).astype(np.float32) * rare[:, None])
+
+    def sums(centre: np.ndarray) -> np.ndarray:
+        """Per centre the sum of the nearest passages, and their number."""
+
+        def make(parts) -> np.ndarray:
+            out = np.zeros((len(centre), WIDTH + 1))
+            for term, size in parts:
+                v = projected(term, size, sketch.value)
+                own = (v @ centre.T).argmax(1)
+                by = np.argsort(own, kind="stable")
+                cut = np.flatnonzero(np.r_[True, own[by][1:] != own[by][:-1]])
+                out[own[by][cut], :WIDTH] += np.add.reduceat(v[by], cut, axis=0)
+                out[:, WIDTH] += np.bincount(own, minlength=len(centre))
+            return out
+
+        return _total(tokens, make, len(centre), WIDTH + 1, units=_PART, dtype="float64")
+
+    # The first draw is by the distance from the mean.
+    centre = sums(np.zeros((1, WIDTH), dtype=np.float32))[:, :WIDTH]
+    centre = _moved(centre, centre).astype(np.float32)
+    for nth in range(DRAWS):
+        centre = np.concatenate([centre, _drawn(tokens, sketch, centre, 2 * topics, nth)])
+    weight = sums(centre)[:, WIDTH]
+    centre = _clusters(centre[weight > 0], topics, rng, weight=weight[weight > 0])[1].astype(np.float32)
+    for _ in range(MOVES):
+        centre = _moved(sums(centre)[:, :WIDTH], centre).astype(np.float32)
+    k = len(centre)
+
+    def make(parts) -> np.ndarray:
+        out = np.zeros((n_terms, k), dtype=np.int32)
+        for term, size in parts:
+            own = (projected(term, size, sketch.value) @ centre.T).argmax(1)
+            np.add.at(out.ravel(), term.astype(np.int64) * k + np.repeat(own, size), 1)
+        return out.astype(np.float32)
+
+    counts = _total(tokens, make, n_terms, k, seen[:n_terms].sum(), _PART)
+    sketch.destroy()
+    return counts[:, counts.sum(0) > 0]
 
 
 def fit(tokens: DataFrame, counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """Expected counts after rounds over all passages."""
     for _ in range(rounds):
-        phi = distributions(counts)
-
-        def make(batches: Iterator[pa.RecordBatch], phi=phi) -> np.ndarray:
-            out = np.zeros(phi.shape, dtype=np.float32)
-            for whole in batches:
-                for b in arrow_slices(whole, "term", _UNITS):
-                    term, size = list_parts(b.column("term"))
-                    for part, p in responsibilities(term, size, phi):
-                        _add(out, term[part], p)
+        phi = tokens.sparkSession.sparkContext.broadcast(distributions(counts))
+
+        def make(parts, phi=phi) -> np.ndarray:
+            out = np.zeros(phi.value.shape, dtype=np.float32)
+            for term, size in parts:
+                for part, p in responsibilities(term, size, phi.value):
+                    _add(out, term[part], p)
             return out
 
-        got = sum_blocks(tokens.select("term"), make, len(counts), dtype="float32")
+        got = _total(tokens, make, *counts.shape, counts.sum(dtype=float))
+        phi.destroy()
         if not got.size:
             break
         counts = got
@@ -391,7 +482,7 @@ def merged(counts: np.ndarray, named: np.ndarray, subjects: int, seed: int = 2)
     if len(rest):
         rng = np.random.default_rng(seed)
         sketch = rng.standard_normal((64, len(counts))) @ (counts[:, rest] / np.maximum(counts[:, rest].sum(0), 1e-9))
-        to[rest] = subjects + _clusters(sketch.T, BACKGROUND, rng)
+        to[rest] = subjects + _clusters(sketch.T, BACKGROUND, rng)[0]
     # No empty topics: those would be spread evenly over all terms.
     _, to = np.unique(to, return_inverse=True)
     out = np.zeros((len(counts), int(to.max()) + 1), dtype=np.float32)
@@ -412,13 +503,11 @@ def _model(docs, ident, text, labels, label, subjects, lang, first, rounds):
     tokens = written(encoded(words, terms, kind), "tokens")
     labelled = tokens.filter("mask is not null")
     n = tokens.count()
-    h = F.pmod(F.xxhash64("ident", "at"), F.lit(1 << 40))
-    few = tokens.filter(h < int((1 << 40) * min(1.0, 1.2 * SAMPLE / max(n, 1)))).orderBy(h, "ident").limit(SAMPLE).select("term")
-    arrays = [np.asarray(x) for x in few.toPandas()["term"]]
-    if not arrays:
+    if not n:
         return None
     # A topic needs some passages to stand on, so a small corpus starts with fewer.
-    counts = start(arrays, len(terms), max(len(subjects) + 1, min(TOPICS, len(arrays) // 16)), first)
+    counts = start(tokens, len(terms), max(len(subjects) + 1, min(TOPICS, n // 16)))
+    counts = fit(tokens, counts, first)
     counts = merged(counts, inspect(labelled, counts, len(subjects)), len(subjects))
     counts = fit(tokens, counts, rounds)
     return tokens, counts, inspect(labelled, counts, len(subjects))
@@ -426,7 +515,7 @@ def _model(docs, ident, text, labels, label, subjects, lang, first, rounds):
 
 def document_subjects(docs: DataFrame, ident: str, text: str, labels: DataFrame, label: str, subjects: list[str], lang: str | None = None, first: int = START, rounds: int = ROUNDS) -> DataFrame:
     """(ident, subject) for every document and each subject of its passages.  ``first``
-    and ``rounds`` are the model's rounds on the sample and over all passages."""
+    and ``rounds`` are the model's rounds before and after topics are merged."""
     spark = docs.sparkSession
     name = docs.schema[ident].dataType.simpleString()
     model = _model(docs, ident, text, labels, label, subjects, lang, first, rounds)

@@ -3,6 +3,7 @@ import random
 import duckdb
 import numpy as np
 
+from loomline.llm import subjects
 from loomline.llm.subjects import _hash, coded, coded_texts, composition, document_subjects, labels_of, vocabulary
 from loomline.session import written
 
@@ -45,6 +46,25 @@ def test_subjects_of_passages(spark):
     assert share["sea"] == len([1 for _, s in got if s == "sea"])
 
 
+def test_topics_start_from_all_passages(spark, monkeypatch):
+    # Every term of every passage counts once, before topics are merged and after.
+    rng = random.Random(5)
+    lines = lambda s: " ".join(f"Without the {rng.choice(TERMS[s])} even a {rng.choice(TERMS[s])} is lost." for _ in range(3))
+    docs = [(i, lines("sea" if i % 2 else "food"), "x", "y") for i in range(12_000)]
+    labels = [(i, "sea" if i % 2 else "food") for i in range(0, 12_000, 7)]
+    counted, real = [], subjects.inspect
+
+    def seen(labelled, counts, n):
+        counted.append(counts.sum(dtype=float))
+        return real(labelled, counts, n)
+
+    monkeypatch.setattr(subjects, "inspect", seen)
+    found = document_subjects(spark.createDataFrame(docs, DOC), "doc_id", "text", spark.createDataFrame(labels, LABEL), "subject", ["sea", "food"])
+    assert found.count() > 0.95 * len(docs)
+    assert len(counted) == 2
+    assert abs(counted[0] - counted[1]) < 0.01 * counted[1]
+
+
 def test_core_terms_of_a_frequent_subject(spark):
     # A third of the documents are of one subject with six terms, which all stand
     # in far more than MOST_SHARE of the passages.
